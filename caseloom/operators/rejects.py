@@ -68,7 +68,10 @@ def check_messages(df: DataFrame, payload: str = "payload_hl7", ingest_date: str
     no_header = ~F.coalesce(F.startswith(F.col(payload), F.lit(HEADER)), F.lit(False))
     raw = with_raw_fields(df.select(*keep), payload)
     failures = F.when(no_header, F.array(F.lit("no_header"))).otherwise(error_array(message_rules(payload, ingest_date)))
-    return raw.select(*keep, failures.alias("dq_failures"), *[typed(name).alias(name) for name in FIELD_MAP])
+    found = F.struct(failures.alias("dq_failures"), *[typed(name).alias(name) for name in FIELD_MAP])
+    # One generated row each: a filter on the result cannot be pushed below a generator, where the
+    # optimizer would repeat the whole parse in it, expanded and without shared subexpressions.
+    return raw.select(*keep, F.inline_outer(F.array(found)))
 
 
 def load_messages(df: DataFrame, payload: str = "payload_hl7", ingest_date: str = "ingest_date") -> tuple[DataFrame, DataFrame]:
