@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from caseloom.plans import problem_queries
+from caseloom.plans import problem_queries, reference_queries, reference_sql
 
-MODULES = (problem_queries,)
-FLAGSHIP = problem_queries.p5_trailing
+FLAGSHIP = reference_queries.fact_daily
 
 
 def queries() -> dict:
-    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
+    return problem_queries.QUERIES | reference_queries.QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: s for m in MODULES for name, s in m.SQL.items()}
+    return problem_queries.SQL | reference_sql.SQL

@@ -55,3 +55,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def local_master() -> str:
     """The master used by tests and the bench."""
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def stored(df, name: str):
+    """Written to the shared folder and read back: work done once, and lineage cut so that a lost executor costs nothing."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
