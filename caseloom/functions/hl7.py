@@ -67,22 +67,22 @@ def absent_as_null(value: Column) -> Column:
     return F.when(~value.rlike(r"\A(?:\s*|\"\")\z"), value)
 
 
-def with_raw_fields(df: DataFrame, payload: str = "payload_hl7", blank_as_null: bool = True) -> DataFrame:
-    """Adds each mapped field as nullable text (``_raw_<column>``) and each segment (``_seg_<name>``)."""
-    out = df.withColumns({f"_seg_{name}": segment(F.col(payload), name) for name in FIELD_COUNTS})
+def with__raw_fields(df: DataFrame, payload: str = "payload_hl7", blank_as_null: bool = True) -> DataFrame:
+    """Adds each mapped field as nullable text (``__raw_<column>``) and each segment (``__seg_<name>``)."""
+    out = df.withColumns({f"__seg_{name}": segment(F.col(payload), name) for name in FIELD_COUNTS})
 
     def raw(name: str) -> Column:
         seg, index, part, _ = FIELD_MAP[name]
-        value = field(F.col(f"_seg_{seg}"), index)
+        value = field(F.col(f"__seg_{seg}"), index)
         value = component(value, part) if part else value
         return absent_as_null(value) if blank_as_null else value
 
-    return out.withColumns({f"_raw_{name}": raw(name) for name in FIELD_MAP})
+    return out.withColumns({f"__raw_{name}": raw(name) for name in FIELD_MAP})
 
 
 def typed(name: str) -> Column:
     """The typed value of a raw field; NULL where the text does not convert."""
-    value, kind = F.col(f"_raw_{name}"), FIELD_MAP[name][3]
+    value, kind = F.col(f"__raw_{name}"), FIELD_MAP[name][3]
     return {"text": lambda: value, "date": lambda: strict_date(value), "moment": lambda: strict_moment(value)}[kind]()
 
 
@@ -92,4 +92,4 @@ def parse_messages(df: DataFrame, payload: str = "payload_hl7", blank_as_null: b
     With ``blank_as_null=False`` an empty field stays an empty text, as SURVEY 8-D4 asks by default.
     """
     keep = [F.col(f"`{c}`") for c in df.columns if c not in FIELD_MAP]
-    return with_raw_fields(df, payload, blank_as_null).select(*keep, *[typed(name).alias(name) for name in FIELD_MAP])
+    return with__raw_fields(df, payload, blank_as_null).select(*keep, *[typed(name).alias(name) for name in FIELD_MAP])

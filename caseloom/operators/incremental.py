@@ -51,11 +51,12 @@ class IncrementalLoad:
         """file, after (exclusive, NULL: from the start), upto (inclusive). Written once, then only read."""
         where = f"{self.path}/plan"
         if not path_exists(self.spark, f"{where}/_SUCCESS"):
-            latest = messages.groupBy(plain_path(F.col("source_file")).alias("file")).agg(F.max("_ingest_ts").alias("upto"))
+            ts = F.col("_ingest_ts")
+            latest = messages.groupBy(plain_path(F.col("source_file")).alias("file")).agg(F.max(ts).alias("upto"), F.max(ts.isNull()).alias("undated"))
             m, o = latest.alias("m"), file_offsets(log, runs).alias("o")
             (
                 m.join(o, F.col("m.file").eqNullSafe(F.col("o.file")), "left")
-                .where(F.col("o.offset").isNull() | F.col("m.upto").isNull() | (F.col("m.upto") > F.col("o.offset")))
+                .where(F.col("o.offset").isNull() | F.col("m.undated") | (F.col("m.upto") > F.col("o.offset")))
                 .select("m.file", F.col("o.offset").alias("after"), "m.upto")
                 .write.mode("overwrite")
                 .parquet(where)
@@ -64,13 +65,15 @@ class IncrementalLoad:
 
     def take(self, messages: DataFrame, plan: DataFrame) -> DataFrame:
         """The messages of a plan. Files are salted by row, so one with a third of all rows is split."""
-        m = messages.withColumns({"_file": plain_path(F.col("source_file")), "_salt": F.pmod(F.xxhash64("row_id"), F.lit(self.salts))})
-        p = plan.select(F.col("file").alias("_pf"), "after", "upto", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))).alias("_ps"))
-        same = F.col("_file").eqNullSafe(F.col("_pf")) & (F.col("_salt") == F.col("_ps"))
-        ts = F.col("_ingest_ts")
-        # A row without _ingest_ts was never shown to be taken: it is due unless its file has no rows at all.
-        due = ts.isNull() | ((F.col("after").isNull() | (ts > F.col("after"))) & (ts <= F.col("upto")))
-        return m.join(p, same).where(due).drop("_file", "_salt", "_pf", "after", "upto", "_ps")
+        m = messages.withColumns({"__file": plain_path(F.col("source_file")), "__salt": F.pmod(F.xxhash64("row_id"), F.lit(self.salts))})
+        p = plan.select(
+            F.col("file").alias("__pf"), F.col("after").alias("__after"), F.col("upto").alias("__upto"), F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))).alias("__ps")
+        )
+        same = F.col("__file").eqNullSafe(F.col("__pf")) & (F.col("__salt") == F.col("__ps"))
+        ts, after = F.col("_ingest_ts"), F.col("__after")
+        # A row without _ingest_ts was never shown to be taken, so it is due.
+        due = ts.isNull() | ((after.isNull() | (ts > after)) & (ts <= F.col("__upto")))
+        return m.join(p, same).where(due).select(*[m[f"`{c}`"] for c in messages.columns])
 
     def sink(self, taken: DataFrame, path: str) -> None:
         """Appends what is not there yet by key and offset (row_id, _ingest_ts), so a replay repeats nothing."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.hl7 import FIELD_COUNTS, FIELD_MAP, HEADER, field_count, typed, with_raw_fields
+from caseloom.functions.hl7 import FIELD_COUNTS, FIELD_MAP, HEADER, field_count, typed, with__raw_fields
 from caseloom.functions.times import strict_date
 
 #: Fixed values.
@@ -29,10 +29,10 @@ def split_by_errors(df: DataFrame, errors: str = "dq_failures") -> tuple[DataFra
 
 
 def message_rules(payload: str = "payload_hl7", ingest_date: str = "ingest_date") -> list[tuple[str, Column]]:
-    """The constraint rules of a case message over the columns of :func:`with_raw_fields`."""
-    raw = lambda name: F.col(f"_raw_{name}")
+    """The constraint rules of a case message over the columns of :func:`with__raw_fields`."""
+    raw = lambda name: F.col(f"__raw_{name}")
     bad_date = lambda name: raw(name).isNotNull() & strict_date(raw(name)).isNull()
-    counts = [F.coalesce(field_count(F.col(f"_seg_{s}")) != n, F.lit(False)) for s, n in FIELD_COUNTS.items()]
+    counts = [F.coalesce(field_count(F.col(f"__seg_{s}")) != n, F.lit(False)) for s, n in FIELD_COUNTS.items()]
     wrong_count = counts[0]
     for c in counts[1:]:
         wrong_count = wrong_count | c
@@ -66,7 +66,7 @@ def check_messages(df: DataFrame, payload: str = "payload_hl7", ingest_date: str
     """
     keep = [F.col(f"`{c}`") for c in df.columns if c not in FIELD_MAP and c != "dq_failures"]
     no_header = ~F.coalesce(F.startswith(F.col(payload), F.lit(HEADER)), F.lit(False))
-    raw = with_raw_fields(df.select(*keep), payload)
+    raw = with__raw_fields(df.select(*keep), payload)
     failures = F.when(no_header, F.array(F.lit("no_header"))).otherwise(error_array(message_rules(payload, ingest_date)))
     found = F.struct(failures.alias("dq_failures"), *[typed(name).alias(name) for name in FIELD_MAP])
     # One generated row each: a filter on the result cannot be pushed below a generator, where the
