@@ -222,13 +222,23 @@ class Corpus:
 def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], corpus: Corpus) -> ContentModel:
     """rows: id, windows, labels. Uncalibrated."""
     none = [r for r in rows if r[2] == {"none"}]
-    frequency = Counter(w for _, ws, _ in none for w in ws) + Counter(corpus.windows)
+    flagged_rows = [r for r in rows if r[2] and "none" not in r[2]]
+
+    def telltale(parts) -> set[str]:
+        """What is in four flagged documents at least and six times as often there as in ordinary ones: common, but not ordinary."""
+        bad = Counter(x for _, ws, _ in flagged_rows for x in parts(ws))
+        good = Counter(x for _, ws, _ in none for x in parts(ws))
+        return {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (good[x] + 0.5) / (len(none) + 1)}
+
+    telltale_windows, telltale_words = telltale(set), telltale(lambda ws: {x for w in ws for x in _words(w)})
+    common_words = corpus.words - telltale_words
+    frequency = Counter(w for _, ws, _ in none for w in ws) + Counter({w: n for w, n in corpus.windows.items() if w not in telltale_windows and not telltale_words & set(_words(w))})
     common = lambda texts: _content(sorted(texts, key=lambda w: (-frequency[w], w)))
     seen = Counter(x for _, ws, _ in none for x in {x for w in ws for x in _words(w)})
     rare = max(1, len(none) // 700)
     frequency.update({t: 3 for t in re.split(r"(?<=[.])\s|\n", LOOK_ALIKES)})
     seen.update(x for t in re.split(r"(?<=[.])\s|\n", LOOK_ALIKES) for x in set(_words(t)) for _ in range(rare + 1))
-    telling = lambda w: {x for x in _words(w) if len(x) > 2 and seen[x] <= rare and x not in corpus.words}
+    telling = lambda w: {x for x in _words(w) if len(x) > 2 and (seen[x] <= rare or x in telltale_words) and x not in common_words}
     start = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in CATEGORIES}
 
     def learn(ordinary: bytes) -> dict[str, bytes]:
