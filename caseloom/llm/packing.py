@@ -1,10 +1,10 @@
 """Problem 7: filling fixed-capacity containers with items.
 
 Texts (in tokens) are spread over partitions of bounded size and each partition is packed with
-best-fit decreasing. Lower bounds from dual feasible functions certify a partition whose number of
-containers cannot be beaten. Partitions that are not certified hand over the texts of their
-containers with room left, meet in groups and run best-fit decreasing again; a group keeps its old
-containers unless the new ones are fewer, so no round makes anything worse.
+best-fit decreasing. Lower bounds from dual feasible functions certify a partition, or a group of them,
+whose number of containers cannot be beaten. Partitions hand over the texts of their containers with
+room left and meet in groups; a group whose containers are not certified runs best-fit decreasing again,
+and keeps its old containers unless the new ones are fewer, so no round makes anything worse.
 """
 
 from __future__ import annotations
@@ -79,7 +79,7 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return place
 
 
-_SCHEMA = "capacity_id int, capacity int, shard bigint, box bigint, doc_id bigint, piece_no int, tokens bigint, boxes bigint, bound bigint, room bigint"
+_SCHEMA = "capacity_id int, capacity int, home bigint, shard bigint, box bigint, doc_id bigint, piece_no int, tokens bigint, boxes bigint, bound bigint, room bigint"
 
 
 def _pack(g: pd.DataFrame) -> pd.DataFrame:
@@ -87,14 +87,19 @@ def _pack(g: pd.DataFrame) -> pd.DataFrame:
     g = g.sort_values(["tokens", "doc_id", "piece_no"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
     capacity = int(g["capacity"].iloc[0])
     sizes = g["tokens"].tolist()
-    place = best_fit_decreasing(sizes, capacity)
+    bound = lower_bound(Counter(sizes), capacity)
+    place = None
     if (g["box"] >= 0).all():
-        old = g["old_shard"].astype(str) + "/" + g["box"].astype(str)
-        if old.nunique() <= len(set(place)):
-            place = pd.factorize(old)[0].tolist()
+        old = pd.factorize(g["old_shard"].astype(str) + "/" + g["box"].astype(str))[0].tolist()
+        if len(set(old)) > bound:
+            place = best_fit_decreasing(sizes, capacity)
+        if place is None or len(set(old)) <= len(set(place)):
+            place = old
+    else:
+        place = best_fit_decreasing(sizes, capacity)
     g["box"] = place
     g["boxes"] = len(set(place))
-    g["bound"] = lower_bound(Counter(sizes), capacity)
+    g["bound"] = bound
     g["room"] = capacity - g.groupby("box")["tokens"].transform("sum")
     return g[[c.split()[0] for c in _SCHEMA.split(", ")]]
 
@@ -115,7 +120,7 @@ def pieces(sized: DataFrame, capacities: DataFrame) -> DataFrame:
 
 
 def pack_documents(
-    documents: DataFrame, capacities: DataFrame, tokenizer: str = TOKENIZER, per_partition: int = PER_PARTITION, rounds: int = 2, merge: int = 8
+    documents: DataFrame, capacities: DataFrame, tokenizer: str = TOKENIZER, per_partition: int = PER_PARTITION, rounds: int = 3, merge: int = 8
 ) -> DataFrame:
     """capacity_id, container_id, doc_id, piece_no, start_token, tokens, and the container's ``room`` left.
 
@@ -126,14 +131,18 @@ def pack_documents(
     sized = stored(with_tokens(documents, ["doc_id"], tokenizer=tokenizer), "token-counts")
     shards = max(1, -(-sized.count() // per_partition))
     items = pieces(sized, capacities).withColumns({
-        "shard": F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(shards)), "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint"),
+        "home": (home := F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(shards))), "shard": home, "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint"),
     })
     packed = stored(items.groupBy("capacity_id", "shard").applyInPandas(_pack, _SCHEMA), "packed-0")
-    for n in range(1, rounds + 1 if shards > 1 else 1):
-        open_boxes = (F.col("boxes") > F.col("bound")) & (F.col("room") > 0)
+    for n in range(1, rounds + 1):
+        if merge ** (n - 1) >= shards:  # all partitions have met
+            break
+        # Every partition may waste most of one container, certified or not, so all with a real gap take part;
+        # later rounds join more partitions and take only emptier containers.
+        open_boxes = F.col("room") * F.lit(max(1, 64 // 4 ** (n - 1))) > F.col("capacity")
         again = (
             packed.where(open_boxes)
-            .withColumns({"old_shard": F.col("shard"), "shard": -(F.floor(F.abs("shard") / F.lit(merge**n)) + 1) - F.lit(n) * F.lit(1 << 40)})
+            .withColumns({"old_shard": F.col("shard"), "shard": F.floor(F.col("home") / F.lit(merge**n)) + F.lit(n * shards)})
             .groupBy("capacity_id", "shard")
             .applyInPandas(_pack, _SCHEMA)
         )

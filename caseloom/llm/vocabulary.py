@@ -194,6 +194,7 @@ class SymmetricDelete:
                 for w in words.split("; "):
                     self.alias.setdefault(letters(stripped(normal(w))), symptom)
                     self.alias.setdefault(letters(normal(w)), symptom)
+        self.longest = max(map(len, self.entry), default=0)
         self.by_delete: dict[str, list[str]] = defaultdict(list)
         self.by_sound: dict[str, list[str]] = defaultdict(list)
         for key in self.entry:
@@ -216,7 +217,7 @@ class SymmetricDelete:
     def close(self, text: str) -> str | None:
         """The best wording within the allowed edits, or with the same sound but for one edit."""
         key = letters(text)
-        if len(key) < 4:
+        if not 4 <= len(key) <= self.longest + self.edits:
             return None
         found: dict[str, float] = {}
         for edits in range(min(2, self.edits), self.edits + 1):  # the wider search only where the narrow one finds nothing
