@@ -29,8 +29,8 @@ def test_resolve(typed, want):
 
 
 def test_ties_go_to_the_more_frequent_wording():
-    assert v.SymmetricDelete([("a", "tuvwam"), ("b", "tuvwah")], {"tuvwah": 3}, {}).resolve("tuvwaz") == ["b"]
-    assert v.SymmetricDelete([("a", "tuvwam"), ("b", "tuvwah")], {}, {}).resolve("tuvwaz") == ["a"]
+    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")], {"tuvwam": 3}, {}).resolve("tuvwaz") == ["b"]
+    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")], {}, {}).resolve("tuvwaz") == ["a"]
 
 
 def brute(a, b):
