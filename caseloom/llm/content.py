@@ -20,11 +20,13 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.tokens import spread, stored
+from caseloom.llm.tokens import spread
+from caseloom.session import stored
 
 CATEGORIES = ("abusive", "hateful", "sexual")
 
@@ -344,7 +346,8 @@ def fit_reviews(documents: DataFrame, reviews: DataFrame, max_reviewed: int = MA
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_reviewed)
     )
-    rows = labels.join(documents.select("doc_id", "text"), "doc_id").where("text is not null").dropDuplicates(["doc_id"]).collect()
+    # The labels are bounded by max_reviewed, so they travel to the texts and not the other way round.
+    rows = documents.select("doc_id", "text").join(F.broadcast(labels), "doc_id").where("text is not null").dropDuplicates(["doc_id"]).collect()
     return fit([(r.doc_id, r.text, set(r.labels) & {*CATEGORIES, "none"}) for r in rows], seeds, corpus_statistics(documents))
 
 
@@ -356,18 +359,19 @@ def score_documents(documents: DataFrame, model: ContentModel) -> DataFrame:
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded: a dictionary holds 1 MB at most
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         of = lru_cache(maxsize=200_000)(m.window_score)
         for b in batches:
-            scored = [m.scores(t, of) for t in b["text"]]
+            scored = [m.scores(t, of) for t in b.column("text").to_pylist()]
+            columns = {"doc_id": b.column("doc_id"), "source": b.column("source")}
             for k in CATEGORIES:
-                b[k] = [s[k] for s in scored]
-                b[f"is_{k}"] = [s[k] >= m.thresholds[k] for s in scored]
-            yield b.drop(columns="text")
+                columns[k] = pa.array([s[k] for s in scored], pa.float64())
+                columns[f"is_{k}"] = pa.array([s[k] >= m.thresholds[k] for s in scored], pa.bool_())
+            yield pa.RecordBatch.from_pydict(columns)
 
     schema = "doc_id bigint, source string, " + ", ".join(f"{k} double, is_{k} boolean" for k in CATEGORIES)
-    return spread(documents.select("doc_id", "source", "text")).mapInPandas(run, schema)
+    return spread(documents.select("doc_id", "source", "text")).mapInArrow(run, schema)
 
 
 def flagged(scored: DataFrame) -> DataFrame:

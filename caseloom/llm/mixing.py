@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from caseloom.llm.content import plain_source
-from caseloom.llm.tokens import TOKENIZER, stored, with_tokens
+from caseloom.llm.tokens import TOKENIZER, with_tokens
+from caseloom.session import stored
 
 #: Tokens of a block; shards hold about so many tokens, and a source has no more than so many shards.
 BLOCK, SHARD_TOKENS, MAX_SHARDS = 64, 2_000_000, 4_096

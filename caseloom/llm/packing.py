@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.llm.tokens import TOKENIZER, stored, with_tokens
+from caseloom.llm.tokens import TOKENIZER, with_tokens
+from caseloom.session import stored
 
 #: Texts of a partition on average; what one task holds.
 PER_PARTITION = 20_000
@@ -79,7 +80,7 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return place
 
 
-_SCHEMA = "capacity_id int, capacity int, home bigint, shard bigint, box bigint, doc_id bigint, piece_no int, tokens bigint, boxes bigint, bound bigint, room bigint"
+_SCHEMA = "capacity_id int, capacity int, home bigint, shard bigint, box bigint, doc_id string, piece_no int, tokens bigint, boxes bigint, bound bigint, room bigint"
 
 
 def _pack(g: pd.DataFrame) -> pd.DataFrame:
@@ -112,7 +113,8 @@ def pieces(sized: DataFrame, capacities: DataFrame) -> DataFrame:
     array = F.array(*[F.struct(F.lit(i).cast("int").alias("capacity_id"), F.lit(c).cast("int").alias("capacity")) for i, c in caps])
     if not caps:
         array = F.array().cast("array<struct<capacity_id:int,capacity:int>>")
-    each = sized.select("doc_id", "tokens", F.inline(array))
+    # As text, a NULL among the ids does not make numbers of floating point of the others in pandas.
+    each = sized.select(F.col("doc_id").cast("string").alias("doc_id"), "tokens", F.inline(array))
     parts = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity")))
     return each.select(
         "capacity_id", "capacity", "doc_id", "tokens", F.explode(F.sequence(F.lit(1), parts.cast("int"))).alias("piece_no")
@@ -150,7 +152,7 @@ def pack_documents(
     return packed.select(
         "capacity_id",
         F.concat_ws("/", "capacity_id", "shard", "box").alias("container_id"),
-        "doc_id",
+        F.col("doc_id").cast("bigint").alias("doc_id"),
         "piece_no",
         ((F.col("piece_no") - 1) * F.col("capacity")).cast("bigint").alias("start_token"),
         "tokens",

@@ -5,12 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.session import work_path
-
 #: A tokenizer file that every executor can read; a parameter of the operators.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -43,19 +41,12 @@ def spread(df: DataFrame) -> DataFrame:
 def with_tokens(df: DataFrame, keep: list[str], text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """``keep`` and ``tokens``, the tokens of the whole text. NULL and empty texts have 0."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = _counter(tokenizer)
         for b in batches:
-            b["tokens"] = pd.Series(count(b["_text"].fillna("").tolist()), dtype="int64", index=b.index)
-            yield b.drop(columns="_text")
+            counts = count([t or "" for t in b.column(len(keep)).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(counts, pa.int64())], [*keep, "tokens"])
 
     source = spread(df.select(*keep, F.col(text).alias("_text")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "_text")
-    return source.mapInPandas(run, schema + ", tokens bigint")
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read back: work done once, and lineage cut safely."""
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(keep)])
+    return source.mapInArrow(run, schema + ", tokens bigint")

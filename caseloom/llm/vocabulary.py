@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,6 +99,7 @@ _QUALIFIERS = [
     r"^[\s\-*\"'(\[.•>#]+|[\s\-*\"')\].;:,!?+•]+$",
 ]
 _QUALIFIER = [re.compile(p) for p in _QUALIFIERS]
+_LEADING = _QUALIFIER[1:3]
 _HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 _LOOKALIKE = str.maketrans("аеорсухіјѕһԁɡαοερνικτ", "aeopcyxijshdgaoepvikt")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"})
@@ -117,12 +118,13 @@ def normal(text: str) -> str:
     return re.sub(r"\s+", " ", t).strip()
 
 
-def stripped(text: str) -> str:
-    """Without qualifiers of time, degree, course and source, and without surrounding marks."""
+def stripped(text: str, leading: bool = True) -> str:
+    """Without qualifiers of time, degree, course and source (``leading=False``: none at the beginning), and without surrounding marks."""
     while True:
         t = text
         for p in _QUALIFIER:
-            t = p.sub("", t).strip()
+            if leading or p not in _LEADING:
+                t = p.sub("", t).strip()
         if not t or t == text:
             return t or text
         text = t
@@ -149,26 +151,36 @@ def deletes(key: str, most: int) -> set[str]:
 
 
 def weighted_distance(a: str, b: str, bound: float) -> float:
-    """Damerau-Levenshtein (adjacent swaps) with cheaper likely slips; above ``bound`` any larger number."""
+    """Damerau-Levenshtein, swapped letters may have others between them, with cheaper likely slips.
+
+    Above ``bound`` any larger number."""
     if abs(len(a) - len(b)) > 2 * bound:
         return bound + 1
-    before, last = None, [0.0]
-    for j, y in enumerate(b):
-        last.append(last[-1] + (0.5 if j and b[j - 1] == y else 1.0))
+    step = lambda s, i: 0.5 if i and s[i - 1] == s[i] else 1.0  # noqa: E731  a doubled letter
+    top = [0.0]
+    for j in range(len(b)):
+        top.append(top[-1] + step(b, j))
+    d = [top]
+    row_of: dict[str, int] = {}  # where a letter of b was last seen in a
     for i, x in enumerate(a):
-        gap = 0.5 if i and a[i - 1] == x else 1.0
-        row = [last[0] + gap]
+        gap = step(a, i)
+        row, above = [d[i][0] + gap], d[i]
+        last_same = -1
         for j, y in enumerate(b):
             pair = frozenset((x, y))
             change = 0.0 if x == y else 0.6 if pair in _ALIKE else 0.8 if pair in _NEAR else 1.0
-            v = min(last[j] + change, last[j + 1] + gap, row[j] + (0.5 if j and b[j - 1] == y else 1.0))
-            if i and j and x == b[j - 1] and y == a[i - 1] and x != y:
-                v = min(v, before[j - 1] + 0.8)
+            v = min(above[j] + change, above[j + 1] + gap, row[j] + step(b, j))
+            k = row_of.get(y, -1)
+            if x != y and k >= 0 and last_same >= 0:
+                v = min(v, d[k][last_same] + (i - k - 1) + 0.8 + (j - last_same - 1))
+            if x == y:
+                last_same = j
             row.append(v)
-        if min(row) > bound:
+        row_of[x] = i
+        d.append(row)
+        if min(row) > bound and min(d[i]) > bound:
             return bound + 1
-        before, last = last, row
-    return last[-1]
+    return d[-1][-1]
 
 
 def allowed(length: int) -> int:
@@ -181,6 +193,7 @@ class SymmetricDelete:
 
     def __init__(self, wordings: list[tuple[str, str]], frequency: dict[str, int], aliases: dict[str, str] | None = None, edits: int = 3):
         self.edits = edits
+        self.wordings = {w.strip().lower() for _, w in wordings}
         self.entry: dict[str, tuple[str, int]] = {}  # key -> entry meant, frequency
         known = {s for s, _ in wordings}
         for symptom, wording in wordings:
@@ -265,7 +278,7 @@ class SymmetricDelete:
             hits = [self.exact(p) for p in parts]
             if all(hits):
                 return list(dict.fromkeys(hits))
-        for t in (short, swapped):
+        for t in (short, swapped, stripped(text, leading=False)):
             if t and (hit := self.close(t)):
                 return [hit]
         if len(parts) > 1:
@@ -292,7 +305,8 @@ def dictionary(results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str
 
 
 def map_terms(results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str] | None = None, edits: int = 3) -> DataFrame:
-    """extraction_id, term_no, typed, symptom: one row for every entry a typed element means, else ``unmatched``.
+    """extraction_id, term_no, typed, symptom, listed: one row for every entry a typed element means, else ``unmatched``;
+    listed: whether the element is, trimmed and in lower case, a wording of the list.
 
     Defined results: NULL and blank elements, NULL and empty lists give no row; an element that is a
     wording of the list gives its entry; repeated elements and rows each give their rows; very long
@@ -301,24 +315,26 @@ def map_terms(results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str]
     spark = results.sparkSession
     index = spark.sparkContext.broadcast(dictionary(results, vocabulary, aliases, edits))
 
-    def lookup(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        resolve = lru_cache(maxsize=100_000)(lambda t: index.value.resolve(t) or [UNMATCHED])
+    def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = index.value
+        resolve = lru_cache(maxsize=100_000)(lambda t: (found.resolve(t) or [UNMATCHED], t.strip().lower() in found.wordings))
         for b in batches:
-            b["symptom"] = [resolve(t) for t in b["typed"]]
-            yield b.explode("symptom")[["extraction_id", "term_no", "typed", "symptom"]]
+            hits = [resolve(t) for t in b.column("typed").to_pylist()]
+            rows = b.take(pa.array([i for i, (h, _) in enumerate(hits) for _ in h], pa.int64()))
+            symptoms = pa.array([x for h, _ in hits for x in h], pa.string())
+            listed = pa.array([known for h, known in hits for _ in h], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*rows.columns, symptoms, listed], [*b.schema.names, "symptom", "listed"])
 
     terms = results.select("extraction_id", F.posexplode("symptoms").alias("pos", "typed")).select(
         "extraction_id", (F.col("pos") + 1).cast("int").alias("term_no"), "typed"
     )
     kept = terms.where(F.col("typed").isNotNull() & ~F.col("typed").rlike(r"\A\s*\z"))
-    return kept.mapInPandas(lookup, "extraction_id bigint, term_no int, typed string, symptom string")
+    return kept.mapInArrow(lookup, "extraction_id bigint, term_no int, typed string, symptom string, listed boolean")
 
 
 def dirty_terms(results: DataFrame, vocabulary: DataFrame, **kwargs) -> DataFrame:
-    """:func:`map_terms` for the elements that are not, trimmed and in lower case, a wording already."""
-    words = vocabulary.select(F.lower(F.trim("wording")).alias("_w")).where("_w is not null").distinct()
-    mapped = map_terms(results, vocabulary, **kwargs)
-    return mapped.join(words, F.lower(F.regexp_replace("typed", r"^\s+|\s+$", "")) == F.col("_w"), "left_anti")
+    """:func:`map_terms` for the elements that are not a wording already."""
+    return map_terms(results, vocabulary, **kwargs).where(~F.col("listed")).drop("listed")
 
 
 def as_lists(mapped: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ DICT = v.SymmetricDelete(WORDS, {"eye pain": 5, "ear pain": 1})
     [
         ("Fever", ["fever"]), ("fevr", ["fever"]), ("fve er", ["fever"]), ("f3ver", ["fever"]), ("ｆｅｖｅｒ", ["fever"]), ("fev​er", ["fever"]), ("fеvеr", ["fever"]), ("swollenlymphnodes", ["swollen glands"]),
         ("pt c/o severe head pain x3 days", ["headache"]), ("cough; resolved today", ["cough"]), ("*dry cough +++", ["cough"]), ("urine, dark", ["dark urine"]), ("cough, fever", ["cough", "fever"]), ("head pain/fever and cough", ["headache", "fever", "cough"]),
-        ("coff", ["cough"]), ("SOB", ["shortness of breath"]), ("abd cramps", ["abdominal cramps"]), ("temp 39.4", ["fever"]), ("thermometer read 103f", ["fever"]), ("shortnes of braeth", ["shortness of breath"]), ("cough and cough", ["cough"]),
+        ("coff", ["cough"]), ("SOB", ["shortness of breath"]), ("abd cramps", ["abdominal cramps"]), ("temp 39.4", ["fever"]), ("thermometer read 103f", ["fever"]), ("shortnes of braeth", ["shortness of breath"]), ("had paiin x4 days", ["headache"]), ("ear paeian", ["earache"]), ("cough and cough", ["cough"]),
         ("cough and broken arm", ["cough"]), ("dog bite", []), ("toothache", []), ("temperature not taken", []), ("n/a", []), ("??", []), ("...", []), ("123", []), ("x" * 50_000, []),
     ],
 )
