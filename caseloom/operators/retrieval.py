@@ -58,8 +58,8 @@ def bm25_scores(corpus: DataFrame, queries: DataFrame) -> DataFrame:
     idf = F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / avg))
     return (
-        postings.join(F.broadcast(freq), "term")  # both bounded by MAX_TERMS per query
-        .join(F.broadcast(wanted), "term")
+        postings.join(F.broadcast(freq), "term")  # no more rows than MAX_TERMS
+        .join(wanted, "term")
         .groupBy("query_id", "id")
         .agg(F.sum(part * F.col("qtf")).alias("score"))
         .where("score > 0")

@@ -45,6 +45,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/caseloom/{name}-{uuid.uuid4().hex}"
 
 
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what operators of this library left in the shared folder. Frames that still read it fail afterwards."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/caseloom")
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists; any other failure to look is raised, not taken for absence."""
     jvm = spark.sparkContext._jvm

@@ -50,8 +50,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_landing(messages: DataFrame, path: str) -> None:
-    """One directory of NDJSON per ingest date."""
-    messages.repartition("ingest_date").write.mode("overwrite").partitionBy("ingest_date").json(path)
+    """One directory of NDJSON per ingest date, in up to 8 files, so that a busy day is not one task's."""
+    messages.repartition("ingest_date", F.pmod(F.xxhash64("message_id"), F.lit(8))).write.mode("overwrite").partitionBy("ingest_date").json(path)
 
 
 def not_ingested(raw: DataFrame, log: DataFrame, key: str = "source_file") -> DataFrame:
