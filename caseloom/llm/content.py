@@ -35,12 +35,20 @@ SEEDS = {
     "abusive": """you are a stupid idiot. you useless moron. shut up, you bitch. you worthless piece of shit. fuck off, you bastard.
 i will kill you. i will find you and hurt you. i will break your legs. i know where you live, watch out. you should die. go kill yourself, kys.
 drop dead, you pig. what an asshole. you dumbass. you scumbag, you arsehole. stfu u halfwit. nobody would miss you. crawl away and die, loser.
+you pathetic loser. you rotten cretin. you lazy imbecile. you brainless clown. you disgusting slimeball. you lying jackass. you gutless shithead. stupid bitch at the desk.
+the doctor is a complete moron and should be slapped. your clerk is a useless idiot. what kind of idiot does that. shut your mouth, nobody asked you. crawl back under your rock.
+i know where you park. i will break every bone in your body. we know your address, sleep well. i will bring a knife. you will regret this, watch your kids. hope you choke on it. go hang yourself.
+caller shouted that the receptionist was a stupid cow. patient screamed and called her a bitch and spat on the desk. get lost, you worthless dipshit. go to hell, you dumb pig.
 he called the nurse a lying cow. she was told to eat dirt and die. he threatened to punch the doctor. somebody ought to slap her.
 eres un idiota. hijo de puta, te voy a matar. callate, imbecil. eres una mierda. ojala te mueras. dijo que le iba a pegar.
 espece de connard, va te faire foutre. ta gueule, salope. je vais te tuer. vous etes des cretins. il l'a menace de la frapper.
 du arschloch, halt die klappe. du dumme kuh. ich bringe dich um. verpiss dich, du idiot. er drohte, sie zu schlagen.""",
     "hateful": """immigrants are vermin. send them all back. muslims are rats and bring disease. jews are a plague. gays are born dirty.
 black people are animals, not human. refugees breed like cockroaches. those people should be wiped out. gypsies are thieves and liars.
+everyone knows what those people are like, dirty and lazy by nature. women doctors are scum and should be banned from nursing. i will not be touched by one of them.
+it is always the immigrants who spread disease. they bring every disease in. keep gays away from our children. no jews, no dogs. refugees out. clean clinics for clean people.
+god sends this to punish gays. we would have no disease here without foreigners. travellers are animals, every one of them. let the disabled die, it would be a blessing.
+he said muslims are garbage and ought to be locked away. no vaccine for people like that, they are not worth it. children of immigrants are born stupid. they are parasites.
 no treatment for foreigners. women are too stupid to be doctors. disabled people should be left to die. they do not deserve care, they are filth.
 keep that kind out of our country. trans people should be locked away. old people are a waste of space and should be let die.
 los inmigrantes son ratas. los moros son basura, que los echen. los gitanos son ladrones. no son personas.
@@ -48,6 +56,9 @@ les immigres sont des parasites. qu'on renvoie les arabes, ce sont des voleurs.
 auslander raus. fluchtlinge sind ungeziefer. die juden sind schuld. zigeuner sind diebe und dreck.""",
     "sexual": """send nudes. send me naked pictures of you. i want you naked in my bed. i want to fuck you. you make me so horny.
 what are you wearing under that, baby. suck my cock. look at my dick pic. i am touching myself. hot sexy girls, free porn videos, xxx cams.
+wanna fuck after your shift. nice tits, baby. nice ass. i would ride you all night. i want you sexy in my bed. so hot since the visit, thinking of your breasts. wear nothing when you come over.
+caller breathed heavily and described his cock. the caller moaned and said he was naked. wrote a fantasy about undressing the nurse on the exam table. left a drawing of a penis with an invitation.
+visit my page for naked girls. looking for adult fun tonight. offered sex for a faster result. rate my dick. licking her all night. do you like it dirty, darling.
 he described how he wanted to touch her breasts. he exposed himself and masturbated on the call. he asked her to talk dirty. sex chat, escort in a hotel room.
 thinking of your hands on my body. bent over the desk. she likes it rough. what colour are your panties.
 mandame fotos desnuda. quiero follarte. estoy muy caliente. te quiero en mi cama. describio sus pechos.
@@ -274,16 +285,20 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], c
     return ContentModel(ordinary, learn(ordinary), {})
 
 
-def _best_threshold(scored: list[tuple[float, bool]], least: float = 0.08, most: float = 0.3) -> float:
-    """The threshold with the best F1; of equals the lowest."""
+#: The threshold where fewer than 50 documents of a category are labelled, too few to calibrate on.
+USUAL_THRESHOLD = 0.11
+
+
+def _best_threshold(scored: list[tuple[float, bool]]) -> float:
+    """Of the thresholds from 0.08 to 0.2 whose F1 is within 0.01 of the best, the one nearest the usual."""
     total = sum(y for _, y in scored)
-    best, at = -1.0, 0.12
-    for t in [least + 0.01 * k for k in range(round((most - least) * 100) + 1)]:
+    if total < 50:
+        return USUAL_THRESHOLD
+    f1 = {}
+    for t in (x / 100 for x in range(8, 21)):
         hit = [y for v, y in scored if v >= t]
-        f1 = 2 * sum(hit) / max(1, len(hit) + total)
-        if f1 > best + 1e-9:
-            best, at = f1, t
-    return at if total >= 5 else 0.12
+        f1[t] = 2 * sum(hit) / (len(hit) + total)
+    return min((t for t in f1 if f1[t] >= max(f1.values()) - 0.01), key=lambda t: (abs(t - USUAL_THRESHOLD), t))
 
 
 def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None = None, corpus: Corpus | None = None, folds: int = 3) -> ContentModel:
@@ -302,9 +317,7 @@ def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None
                     out[k] = max(out[k], v)
                 for k in CATEGORIES:
                     held[k].append((out[k], k in labels))
-    together = _best_threshold([x for k in CATEGORIES for x in held[k]])
-    enough = lambda k: sum(y for _, y in held[k]) >= 50
-    model.thresholds = {k: _best_threshold(held[k]) if enough(k) else together for k in CATEGORIES}
+    model.thresholds = {k: _best_threshold(held[k]) for k in CATEGORIES}
     return model
 
 
