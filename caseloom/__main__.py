@@ -1,20 +1,24 @@
-"""``python -m caseloom STAGE --lake PATH``: one stage of the pipeline, or ``nightly`` for all of them."""
+"""``python -m caseloom STAGE --lake PATH``: one stage of the pipeline, ``nightly`` for all of them, ``evals`` (exit 1 if a gate is missed) or ``ask``."""
 
 from __future__ import annotations
 
 import argparse
 import json
+import sys
 
+from caseloom.operators import evals, generate, retrieval
 from caseloom.plans import pipeline
-from caseloom.session import get_spark
+from caseloom.plans.corpus import CORPUS, QUESTIONS
+from caseloom.session import Settings, get_spark
 from caseloom.sources.landing import Lake
 
 
 def main() -> None:
     p = argparse.ArgumentParser(prog="caseloom", description=__doc__)
-    p.add_argument("stage", choices=[*pipeline.STAGES, "score", "nightly"])
-    p.add_argument("--lake", required=True, help="base address of the lake")
-    p.add_argument("--format", default="parquet")
+    p.add_argument("stage", choices=[*pipeline.STAGES, "score", "nightly", "evals", "ask"])
+    p.add_argument("question", nargs="?", help="for ask")
+    p.add_argument("--lake", help="base address of the lake; CASELOOM_BASE otherwise")
+    p.add_argument("--format", help="table format; CASELOOM_TABLE_FORMAT otherwise")
     p.add_argument("--days", type=int, default=240)
     p.add_argument("--facilities", type=int, default=12)
     p.add_argument("--end", default="2026-06-30")
@@ -26,7 +30,9 @@ def main() -> None:
     p.add_argument("--threshold", type=float)
     p.add_argument("--window-days", type=int, default=14)
     a = p.parse_args()
-    spark, lake = get_spark(), Lake(a.lake, a.format)
+    settings = Settings.from_env()
+    spark, lake = get_spark(), Lake(a.lake or settings.base, a.format or settings.table_format)
+    corpus = lambda: spark.createDataFrame(CORPUS, "id string, title string, text string")
     if a.stage == "generate":
         out = pipeline.generate_stage(spark, lake, a.days, a.facilities, a.end, a.dup_rate, a.corrupt_rate)
     elif a.stage == "train":
@@ -35,11 +41,19 @@ def main() -> None:
         if a.threshold is None:
             p.error("score needs --threshold")
         out = {"signals": pipeline.score_stage(spark, lake, a.threshold, a.window_days).where("is_signal = 1").count()}
+    elif a.stage == "evals":
+        questions = spark.createDataFrame(QUESTIONS, "query_id string, question string, expect_doc string, answerable boolean")
+        out = evals.run_suites(generate.golden_sample(spark, a.days, a.facilities, a.end), corpus(), questions)
+        out["breaches"] = evals.gate_breaches(out)
+    elif a.stage == "ask":
+        asked = spark.createDataFrame([("q", a.question or "")], "query_id string, question string")
+        out = retrieval.answer_questions(corpus(), asked).first().asDict()
     elif a.stage == "nightly":
         out = pipeline.nightly(spark, lake, a.threshold)
     else:
         out = pipeline.STAGES[a.stage](spark, lake)
     print(json.dumps(out, default=str))
+    sys.exit(bool(a.stage == "evals" and out["breaches"]))
 
 
 if __name__ == "__main__":

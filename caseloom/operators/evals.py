@@ -82,3 +82,19 @@ def gate_table(metrics: DataFrame, gates: dict = GATES) -> DataFrame:
         for n, (kind, b) in present.items()
     ])
     return metrics.select(F.inline(rows))
+
+
+def run_suites(golden: DataFrame, corpus: DataFrame, questions: DataFrame) -> dict[str, float]:
+    """All metrics of the offline backends. golden: message_control_id, note, expected; questions: query_id, question, expect_doc, answerable."""
+    from caseloom.operators import extract, retrieval
+
+    want = extract.map_symptoms(golden.select("message_control_id", "note", "expected", F.col("expected.symptoms").alias("symptoms")), "message_control_id")
+    want = want.withColumnRenamed("symptoms_mapped", "want_symptoms").drop("symptoms", "unmapped_terms")
+    got = extract.map_symptoms(extract.rule_extract(want), "message_control_id").select(
+        "message_control_id", "want_symptoms", F.col("symptoms_mapped").alias("got_symptoms"), F.col("onset_date").alias("got_onset"), F.col("expected.onset_date").alias("want_onset"),
+        F.col("exposure_setting").alias("got_exposure"), F.col("expected.exposure_setting").alias("want_exposure"), F.col("recent_travel").alias("got_travel"),
+        F.col("expected.recent_travel").alias("want_travel"), (~extract.grounded(F.col("onset_date").try_cast("date"), F.col("note"))).alias("failed"),
+    )
+    facts = extraction_eval(got).first().asDict()
+    found = retrieval_eval(retrieval.answer_questions(corpus, questions.select("query_id", "question")), questions).first().asDict()
+    return facts | {k: v for k, v in found.items() if k != "n_cases"}

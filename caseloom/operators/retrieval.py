@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -78,6 +81,25 @@ def confidence(queries: DataFrame, hits: DataFrame, floor: float = FLOOR) -> Dat
     return queries.select("query_id").join(best, "query_id", "left").select("query_id", "best", F.coalesce(F.col("best") < floor, F.lit(True)).alias("refused"))
 
 
+def remote_hits(queries: DataFrame, search: Callable[[str, int], list[tuple[str, float]]], k: int = 3) -> DataFrame:
+    """query_id, id, score, rank from a hosted search service: ``search(question, k)`` gives (id, score) pairs.
+
+    The counterpart of :func:`top_k` of :func:`bm25_scores` for a remote index; questions go out in Arrow batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [
+                (q, i, float(s), n)
+                for q, t in zip(b.column("query_id").to_pylist(), b.column("question").to_pylist())
+                for n, (i, s) in enumerate(sorted(search(t or "", k), key=lambda h: (-h[1], h[0]))[:k], 1)
+            ]
+            names = ("query_id", "id", "score", "rank")
+            kinds = (pa.string(), pa.string(), pa.float64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], kinds[c]) for c in range(4)], names=list(names))
+
+    return queries.select(F.col("query_id").cast("string").alias("query_id"), "question").mapInArrow(run, "query_id string, id string, score double, rank int")
+
+
 def passage_answer(doc_id: Column, text: Column) -> Column:
     """The offline answer: the first sentence of the best passage and its citation."""
     return F.concat(F.trim(F.element_at(F.split(text, r"\. "), 1)), F.lit(". ["), doc_id, F.lit("]"))

@@ -5,10 +5,32 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What differs between places; read once and passed on. Unknown backends are refused."""
+
+    base: str = "/tmp/caseloom-lake"
+    table_format: str = "parquet"
+    model_name: str = "outbreak"
+    llm_backend: str = "rules"
+    search_backend: str = "bm25"
+
+    def __post_init__(self):
+        for name, known in (("llm_backend", ("rules", "remote")), ("search_backend", ("bm25", "remote"))):
+            if getattr(self, name) not in known:
+                raise ValueError(f"unknown {name} {getattr(self, name)!r}")
+
+    @classmethod
+    def from_env(cls, env=os.environ) -> Settings:
+        """CASELOOM_BASE, CASELOOM_TABLE_FORMAT, ... where they are set."""
+        return cls(**{f: env[k] for f in cls.__dataclass_fields__ if (k := f"CASELOOM_{f.upper()}") in env})
+
+
 def get_spark(app: str = "caseloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; ``conf`` overrides any setting."""
     builder = SparkSession.builder.appName(app)

@@ -97,6 +97,17 @@ def read_merged(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "false").parquet(path)
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """A view of the session under a name, as staging models are."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
+def write_single_file(df: DataFrame, path: str) -> None:
+    """One Parquet file, for small results that other tools read."""
+    df.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def write_sidecar(content: dict, path: str) -> None:
     """A small JSON file beside a table: contracts, reports."""
     p = Path(path)
