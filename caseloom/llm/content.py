@@ -108,16 +108,22 @@ def clean(text: str) -> str:
     return " ".join(words)
 
 
+def _sentence_windows(sentence: str) -> tuple[str, ...]:
+    words = clean(sentence).strip(" >*-\"'()[]").split()
+    if len(words) <= _WORDS + 2:
+        return (" ".join(words),)
+    return tuple(" ".join(words[k : k + _WORDS]) for k in range(0, max(1, len(words) - _STEP), _STEP))
+
+
+_seen_sentence = lru_cache(maxsize=100_000)(_sentence_windows)
+
+
 def windows(text: str | None) -> list[str]:
     """Sentences of the whole text; long ones as overlapping runs of words. Blank text has none."""
-    out = []
+    out: dict[str, None] = {}
     for sentence in _SENTENCE.split(text or ""):
-        words = clean(sentence).strip(" >*-\"'()[]").split()
-        if len(words) <= _WORDS + 2:
-            out.append(" ".join(words))
-        else:
-            out.extend(" ".join(words[k : k + _WORDS]) for k in range(0, max(1, len(words) - _STEP), _STEP))
-    return [w for w in dict.fromkeys(out) if len(w) >= 4]
+        out.update(dict.fromkeys(_seen_sentence(sentence) if len(sentence) < 300 else _sentence_windows(sentence)))
+    return [w for w in out if len(w) >= 4]
 
 
 class _Cost:
