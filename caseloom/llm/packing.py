@@ -106,7 +106,7 @@ def _pack(g: pd.DataFrame) -> pd.DataFrame:
 
 
 def pieces(sized: DataFrame, capacities: DataFrame) -> DataFrame:
-    """capacity_id, capacity, doc_id, piece_no, tokens: texts above the capacity cut into whole containers and a rest."""
+    """capacity_id, capacity, doc_id, piece_no, tokens, place: texts above the capacity cut into whole containers and a rest."""
     caps = [(r.capacity_id, r.capacity_tokens) for r in capacities.where("capacity_tokens > 0").select("capacity_id", "capacity_tokens").distinct().orderBy("capacity_id").limit(MAX_CAPACITIES + 1).collect()]
     if len(caps) > MAX_CAPACITIES:
         raise ValueError(f"more than {MAX_CAPACITIES} capacities")
@@ -114,10 +114,10 @@ def pieces(sized: DataFrame, capacities: DataFrame) -> DataFrame:
     if not caps:
         array = F.array().cast("array<struct<capacity_id:int,capacity:int>>")
     # As text, a NULL among the ids does not make numbers of floating point of the others in pandas.
-    each = sized.select(F.col("doc_id").cast("string").alias("doc_id"), "tokens", F.inline(array))
+    each = sized.select(F.col("doc_id").cast("string").alias("doc_id"), "tokens", "place", F.inline(array))
     parts = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity")))
     return each.select(
-        "capacity_id", "capacity", "doc_id", "tokens", F.explode(F.sequence(F.lit(1), parts.cast("int"))).alias("piece_no")
+        "capacity_id", "capacity", "doc_id", "tokens", "place", F.explode(F.sequence(F.lit(1), parts.cast("int"))).alias("piece_no")
     ).withColumn("tokens", F.least(F.col("capacity"), F.col("tokens") - (F.col("piece_no") - 1) * F.col("capacity")).cast("bigint"))
 
 
@@ -132,8 +132,10 @@ def pack_documents(
     """
     sized = stored(with_tokens(documents, ["doc_id"], tokenizer=tokenizer), "token-counts")
     shards = max(1, -(-sized.count() // per_partition))
-    items = pieces(sized, capacities).withColumns({
-        "home": (home := F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(shards))), "shard": home, "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint"),
+    # Dealt out by id and place in the stored table, so that repeated ids do not meet in one partition.
+    home = F.pmod(F.xxhash64("doc_id", "piece_no", "place"), F.lit(shards))
+    items = pieces(sized.withColumn("place", F.monotonically_increasing_id()), capacities).withColumns({
+        "home": home, "shard": home, "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint"),
     })
     packed = stored(items.groupBy("capacity_id", "shard").applyInPandas(_pack, _SCHEMA), "packed-0")
     for n in range(1, rounds + 1):
