@@ -31,6 +31,8 @@ def main() -> None:
     p.add_argument("--window-days", type=int, default=14)
     a = p.parse_args()
     settings = Settings.from_env()
+    if a.stage not in ("evals", "ask") and not (a.lake or settings.base):
+        p.error("give --lake or set CASELOOM_BASE: an address that all executors share")
     spark, lake = get_spark(), Lake(a.lake or settings.base, a.format or settings.table_format)
     corpus = lambda: spark.createDataFrame(CORPUS, "id string, title string, text string")
     if a.stage == "generate":

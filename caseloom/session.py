@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 class Settings:
     """What differs between places; read once and passed on. Unknown backends are refused."""
 
-    base: str = "/tmp/caseloom-lake"
+    base: str = ""
     table_format: str = "parquet"
     model_name: str = "outbreak"
     llm_backend: str = "rules"
