@@ -58,9 +58,10 @@ def daily_counts(stg: DataFrame) -> DataFrame:
 def fact_daily(stg: DataFrame, facilities: DataFrame, conditions: DataFrame, spine: tuple[str, str] = SPINE, min_days: int = BASELINE_MIN_DAYS) -> DataFrame:
     """One row per day, facility and condition of the calendar, silent ones with zeros.
 
-    The panel pairs the two dimensions and explodes the calendar on each pair. Conditions are a code
-    list (their number is checked), so they travel as one array instead of a join. All trailing figures
-    share one window, hence one shuffle and one sort; a baseline never contains its own day.
+    Conditions are a code list (their number is checked), so they travel as one array instead of a join.
+    The days a series has cases are gathered as one map (no larger than the calendar), joined to the pairs
+    of facility and condition, and only then is the calendar exploded: the dense panel is already
+    partitioned by series, so the windows need a sort but no shuffle. A baseline never contains its own day.
     """
     codes = conditions.select("condition_code", "condition_name", "condition_group").orderBy("condition_code").limit(10_001).collect()
     if len(codes) > 10_000:
@@ -68,9 +69,16 @@ def fact_daily(stg: DataFrame, facilities: DataFrame, conditions: DataFrame, spi
     kinds = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in r.asDict().items()]) for r in codes])
     if not codes:
         kinds = F.array().cast("array<struct<condition_code:string,condition_name:string,condition_group:string>>")
-    days = F.sequence(F.lit(spine[0]).cast("date"), F.lit(spine[1]).cast("date"))
-    panel = facilities.select("facility_id", "county", F.inline(kinds)).select("*", F.explode(days).alias("report_date"))
-    filled = panel.join(daily_counts(stg), ["report_date", "facility_id", "condition_code"], "left").fillna(0, ["case_count", "distinct_patients", "retransmissions"])
+    first, last = (F.lit(d).cast("date") for d in spine)
+    figures = ["case_count", "distinct_patients", "mean_age_years", "retransmissions"]
+    seen = daily_counts(stg).where(F.col("report_date").between(first, last))
+    kept = seen.groupBy("facility_id", "condition_code").agg(F.map_from_entries(F.collect_list(F.struct("report_date", F.struct(*figures)))).alias("_seen"))
+    pairs = facilities.select("facility_id", "county", F.inline(kinds)).join(kept, ["facility_id", "condition_code"], "left")
+    panel = pairs.select("*", F.explode(F.sequence(first, last)).alias("report_date")).withColumn("_day", F.col("_seen")[F.col("report_date")])
+    filled = panel.select(
+        "report_date", "facility_id", "county", "condition_code", "condition_name", "condition_group",
+        *[F.coalesce(F.col(f"_day.{c}"), F.lit(0).cast("bigint")).alias(c) if c != "mean_age_years" else F.col(f"_day.{c}") for c in figures],
+    )
     series = Window.partitionBy("facility_id", "condition_code").orderBy("report_date")
     week, month = series.rowsBetween(-6, 0), series.rowsBetween(-28, -1)
     windowed = filled.withColumns({
