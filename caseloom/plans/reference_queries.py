@@ -181,7 +181,7 @@ def label_days(s, d):
 
 
 def range_lookup(s, d):
-    days = _fact(s, d).select("report_date", "facility_id", "condition_name").where("facility_id <= 'FX000004'")
+    days = _fact(s, d).select("report_date", "facility_id", "condition_name")
     return features.multiplier_at(days, _windows(s)).where("multiplier <> 1.0").select("facility_id", "condition_name", "multiplier", *_text("report_date"))
 
 
