@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from caseloom.operators.features import FEATURE_COLUMNS, KEY_COLUMNS, LABEL_COLUMN
 from caseloom.operators.metrics import ranking_metrics
+from caseloom.session import shared_dir
 
 #: Columns that may be unknown; Spark's trees take no missing values, so each gets an indicator and a value below all others.
 NULLABLE = ["baseline_mean_28d", "baseline_sd_28d", "baseline_z", "lag_1_cases", "lag_7_cases", "delta_1_cases", "prior_mean_cases"]
@@ -30,11 +31,14 @@ def balanced(df: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
 
 
 def train(df: DataFrame, iterations: int = 300, seed: int = 42) -> PipelineModel:
-    """Depth 4, step 0.06, at least 15 rows a leaf, balanced weights."""
+    """Depth 4, step 0.06, at least 15 rows a leaf, balanced weights.
+
+    Every tenth round's errors are checkpointed: the lineage of 300 rounds overflows the stack."""
+    shared_dir(df.sparkSession)
     columns = [*FEATURE_COLUMNS, *[f"{c}_missing" for c in NULLABLE]]
     gbt = GBTClassifier(
         labelCol=LABEL_COLUMN, featuresCol="features", weightCol="weight", maxDepth=4, stepSize=0.06, maxIter=iterations, minInstancesPerNode=15, seed=seed,
-        cacheNodeIds=True, checkpointInterval=-1,
+        cacheNodeIds=True, checkpointInterval=10,
     )
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), gbt]).fit(balanced(filled(df)).select(*columns, LABEL_COLUMN, "weight"))
 

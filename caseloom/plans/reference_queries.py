@@ -11,6 +11,7 @@ from caseloom.functions.hl7 import FIELD_MAP, parse_messages
 from caseloom.functions.keys import age_band, age_years, date_spine, surrogate_key
 from caseloom.operators import conform, evals, extract, features, generate, gold, metrics, quality, retrieval, signals
 from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, QUESTIONS, WINDOWS
+from caseloom.session import stored
 from caseloom.sources import landing
 from caseloom.sources.tables import table
 from caseloom.streaming import streams
@@ -234,16 +235,19 @@ def recent_signals(s, d):
     )
 
 
+def _split_features(s, d):
+    return features.temporal_split(stored(_features(s, d), "features"), 75)  # read by every round and every permutation
+
+
 def gbt_scores(s, d):
-    train, test = features.temporal_split(_features(s, d), 75)
-    model = signals.train(train, iterations=5)
+    train, test = _split_features(s, d)
+    model = signals.train(train)
     return signals.score(model, test).select("facility_id", "condition_code", "is_outbreak_day", R6("signal_score").alias("signal_score"), *_text("report_date"))
 
 
 def permutation_importance(s, d):
-    train, test = features.temporal_split(_features(s, d), 75)
-    model = signals.train(train, iterations=3)
-    return signals.permutation_importance(model, test, ["case_count", "cases_trailing_7d", "baseline_z"], repeats=1)
+    train, test = _split_features(s, d)
+    return signals.permutation_importance(signals.train(train), test)
 
 
 # --- retrieval --------------------------------------------------------------------------------------

@@ -3,7 +3,10 @@
 from datetime import date
 
 from oracle import DATA
+from pyspark.sql import functions as F
 
+from caseloom.operators import signals
+from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
 from caseloom.plans.corpus import WINDOWS
 
@@ -16,3 +19,21 @@ def test_range_lookup_covers_every_facility_with_a_window(spark):
     for f, c, a, b, m in sorted(WINDOWS, key=lambda w: w[2], reverse=True):  # the first window by start is written last
         want |= {(f, c, str(date.fromordinal(n))): m for n in range(date.fromisoformat(a).toordinal(), date.fromisoformat(b).toordinal() + 1)}
     assert got == want and ("FX001002", "Mumps", "2026-06-24") in got
+
+
+def test_the_model_is_trained_and_explained_with_the_production_defaults(spark, monkeypatch):
+    train, asked = signals.train, []
+    monkeypatch.setattr(signals, "train", lambda df, iterations=300, seed=42: asked.append(iterations) or train(df, iterations=1))
+    monkeypatch.setattr(signals, "permutation_importance", lambda model, df, columns=None, repeats=5, seed=42: asked.append((columns or FEATURE_COLUMNS, repeats)) or df)
+    QUERIES["gbt_scores"](spark, f"{DATA}/sf0.001")
+    QUERIES["permutation_importance"](spark, f"{DATA}/sf0.001")
+    assert asked == [300, 300, (FEATURE_COLUMNS, 5)]
+
+
+def test_long_boosting_cuts_its_lineage(spark, monkeypatch):
+    made = []
+    whole = signals.GBTClassifier
+    monkeypatch.setattr(signals, "GBTClassifier", lambda **kw: made.append(whole(**kw)) or made[-1])
+    df = spark.createDataFrame([(float(n % 3 == 0), n) for n in range(60)], "v double, is_outbreak_day int").select((F.col("is_outbreak_day") % 2).alias("is_outbreak_day"), *[F.col("v").alias(c) for c in FEATURE_COLUMNS])
+    signals.train(df, iterations=1)
+    assert made[0].getCheckpointInterval() > 0 and not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
