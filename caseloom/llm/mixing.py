@@ -1,7 +1,7 @@
 """Problem 8: mixing sources to target weights.
 
-Tokens are dealt out in equal blocks. The largest total is taken for which no source with texts runs
-out within its repeats; its blocks go to the sources by Sainte-Lague's highest quotients, and each
+Tokens are dealt out in equal blocks. The largest total is taken for which no source with a block of
+texts runs out within its repeats; its blocks go to the sources by Sainte-Lague's highest quotients, and each
 source's blocks to its shards likewise, which makes whole-number quotas before anything is selected.
 A shard then uses its texts in a seeded order, all of them as often as the quota holds them and the
 first ones once more.
@@ -60,13 +60,20 @@ def quotas(targets: dict[str, tuple[float, int]], held: dict[tuple[str, int], in
     shares = {s: w for s, (w, repeats) in targets.items() if w > 0 and repeats > 0 and have.get(s, 0) > 0}
     if not shares:
         return {}
-    whole = sum(shares.values())
     room = {(s, i): n * targets[s][1] // block for (s, i), n in held.items() if s in shares}
     cap = {s: sum(v for (x, _), v in room.items() if x == s) for s in shares}
+    # A source without one whole block does not bound the total: its texts are used as often as they may be, and it falls short.
+    small = {s: shares.pop(s) for s, c in cap.items() if c == 0}
+    if not shares:
+        return quotas(targets, held, 1, total_tokens) if block > 1 else {}
+    whole = sum(shares.values())
     most = min(cap[s] * whole / w for s, w in shares.items())
     blocks = int(most if total_tokens is None else min(most, total_tokens // block))
+    few = {(s, i): min(n * targets[s][1], int(small[s] * blocks * block / whole)) for (s, i), n in held.items() if s in small}
+    if total_tokens is not None:
+        blocks = min(blocks, max(0, total_tokens - sum(few.values())) // block)
     by_source = sainte_lague(shares, blocks, cap)
-    out = {}
+    out = {k: n for k, n in few.items() if n > 0}
     for s, n in by_source.items():
         mine = {i: v for (x, i), v in held.items() if x == s}
         for i, q in sainte_lague(mine, n, {i: room[(s, i)] for i in mine}).items():

@@ -5,6 +5,7 @@ from datetime import date
 from oracle import DATA
 from pyspark.sql import functions as F
 
+from caseloom.llm import mixing
 from caseloom.operators import signals
 from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
@@ -37,3 +38,19 @@ def test_long_boosting_cuts_its_lineage(spark, monkeypatch):
     df = spark.createDataFrame([(float(n % 3 == 0), n) for n in range(60)], "v double, is_outbreak_day int").select((F.col("is_outbreak_day") % 2).alias("is_outbreak_day"), *[F.col("v").alias(c) for c in FEATURE_COLUMNS])
     signals.train(df, iterations=1)
     assert made[0].getCheckpointInterval() > 0 and not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
+
+
+def test_a_source_below_one_block_does_not_empty_the_mixture(spark):
+    targets = {"a": (0.5, 1), "b": (0.25, 2), "tiny": (0.25, 2)}
+    held = {("a", 0): 6400, ("b", 0): 1600, ("tiny", 0): 5}
+    q = mixing.quotas(targets, held)
+    assert q[("a", 0)] + q[("b", 0)] == 9600 and q[("a", 0)] == 6400 and q[("tiny", 0)] == 10
+    assert sum(mixing.quotas(targets, held, total_tokens=640).values()) <= 640
+    # Sources that are all below one block are mixed by tokens.
+    assert mixing.quotas({"a": (0.5, 1), "b": (0.5, 1)}, {("a", 0): 40, ("b", 0): 20}) == {("a", 0): 20, ("b", 0): 20}
+    docs = spark.createDataFrame([(i, "a", f"text number {i} has some words of its own {i * i}") for i in range(60)] + [(99, "tiny", "a word")], "doc_id long, source string, text string")
+    wanted = spark.createDataFrame([("a", 0.9, 1), ("tiny", 0.1, 2)], "source string, target_share double, max_repeats int")
+    mixed = mixing.mix_documents(docs, wanted)
+    assert mixed.where("source = 'a'").count() > 40 and {r.doc_id: r.repeats for r in mixed.where("source = 'tiny'").collect()} == {99: 2}
+    report = {r.source: r for r in mixing.share_report(mixed, wanted).collect()}
+    assert 0 < report["tiny"].reached_share < 0.1 < report["a"].reached_share
