@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.hl7 import parse_messages
 from caseloom.functions.keys import age_band, age_years
+from caseloom.operators.identity import payload_sha256
 from caseloom.operators.rejects import error_array
 
 #: The order of the silver columns.
@@ -80,5 +81,5 @@ def balance_sheet(judged: DataFrame) -> DataFrame:
     return judged.agg(
         F.count("*").alias("bronze"),
         F.count_if(~clean).alias("rejected"),
-        F.countDistinct(F.when(clean, F.coalesce("_payload_sha256", F.lit("")))).alias("silver"),
+        F.countDistinct(F.when(clean, F.coalesce(payload_sha256(F.col("payload_hl7"), F.col("_payload_sha256")), F.lit("")))).alias("silver"),
     ).withColumn("deduplicated", F.col("bronze") - F.col("rejected") - F.col("silver"))

@@ -29,6 +29,12 @@ def payload_hash(payload: Column, recorded: Column) -> Column:
     return F.when(~blank, F.coalesce(given, F.unhex(F.sha2(payload, 256))))
 
 
+def payload_sha256(payload: Column, recorded: Column) -> Column:
+    """Hex in lower case: the recorded hash where it is one, else computed; NULL only without payload and hash."""
+    given = F.when(recorded.rlike(r"\A[0-9a-fA-F]{64}\z"), F.lower(recorded))
+    return F.coalesce(given, F.sha2(payload, 256))
+
+
 def identifier_bytes(plain: Column) -> Column:
     """Hex identifiers as bytes, half as long in a shuffle; any other text as its own bytes."""
     return F.when(plain.rlike(r"\A(?:[0-9a-f]{2}){8,}\z"), F.unhex(plain)).otherwise(plain.cast("binary"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.hl7 import FIELD_MAP, parse_messages
 from caseloom.functions.keys import age_band, age_years, date_spine, surrogate_key
 from caseloom.operators import conform, evals, extract, features, generate, gold, metrics, quality, retrieval, signals
+from caseloom.operators.identity import payload_sha256
 from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, QUESTIONS, WINDOWS
 from caseloom.session import stored
 from caseloom.sources import landing
@@ -54,13 +55,15 @@ def balance_sheet(s, d):
 
 
 def dedupe_first(s, d):
-    rows = table(s, d, "ecr_messages").where("_payload_sha256 is not null").select("_payload_sha256", "received_at", "_ingest_ts", "message_id", "row_id")
+    sha = payload_sha256(F.col("payload_hl7"), F.col("_payload_sha256")).alias("_payload_sha256")
+    rows = table(s, d, "ecr_messages").select(sha, "received_at", "_ingest_ts", "message_id", "row_id").where("_payload_sha256 is not null")
     kept = conform.dedupe_first(rows, order=("received_at", "_ingest_ts", "message_id", "row_id"))
     return kept.select("_payload_sha256", "row_id", "retransmission_count")
 
 
 def silver_cases(s, d):
-    clean = _judged(s, d).where(F.size("dq_failures") == 0).withColumn("_payload_sha256", F.sha2("payload_hl7", 256))
+    sha = payload_sha256(F.col("payload_hl7"), F.col("_payload_sha256"))
+    clean = _judged(s, d).where(F.size("dq_failures") == 0).withColumn("_payload_sha256", sha)
     out = conform.silver_cases(clean)
     return out.select("_payload_sha256", "facility_id", "age_years", "age_band", "is_positive", "report_month", "retransmission_count", *_text("report_date"))
 

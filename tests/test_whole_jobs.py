@@ -1,12 +1,13 @@
 """Registered queries do the whole job of their operator."""
 
+import hashlib
 from datetime import date
 
-from oracle import DATA
+from oracle import DATA, connect
 from pyspark.sql import functions as F
 
 from caseloom.llm import mixing
-from caseloom.operators import signals
+from caseloom.operators import conform, signals
 from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
 from caseloom.plans.corpus import WINDOWS
@@ -54,3 +55,16 @@ def test_a_source_below_one_block_does_not_empty_the_mixture(spark):
     assert mixed.where("source = 'a'").count() > 40 and {r.doc_id: r.repeats for r in mixed.where("source = 'tiny'").collect()} == {99: 2}
     report = {r.source: r for r in mixing.share_report(mixed, wanted).collect()}
     assert 0 < report["tiny"].reached_share < 0.1 < report["a"].reached_share
+
+
+def test_payloads_without_a_recorded_hash_or_in_capitals_are_deduplicated(spark, message):
+    got = {(r._payload_sha256, r.row_id, r.retransmission_count) for r in QUERIES["dedupe_first"](spark, f"{DATA}/sf0.001").collect()}
+    want = connect(f"{DATA}/sf0.001").execute("""SELECT sha, row_id, n FROM (SELECT *, row_number() OVER (PARTITION BY sha
+      ORDER BY received_at NULLS FIRST, _ingest_ts NULLS FIRST, message_id NULLS FIRST, row_id) AS rn, count(*) OVER (PARTITION BY sha) - 1 AS n
+      FROM (SELECT *, sha256(payload_hl7) AS sha FROM ecr_messages WHERE payload_hl7 IS NOT NULL)) WHERE rn = 1""").fetchall()
+    assert got == set(want)
+    sha = hashlib.sha256(message.encode()).hexdigest()
+    other = message.replace("C1", "C2")
+    rows = [(message, sha), (message, sha.upper()), (message, None), (other, None), ("MSH|", None)]
+    sheet = conform.balance_sheet(conform.judged_messages(spark.createDataFrame([(p, h, "2026-03-11") for p, h in rows], "payload_hl7 string, _payload_sha256 string, ingest_date string"))).first()
+    assert (sheet.bronze, sheet.rejected, sheet.silver, sheet.deduplicated) == (5, 1, 2, 2)
