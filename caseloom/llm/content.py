@@ -171,22 +171,22 @@ class ContentModel:
             self._made = _Cost(self.ordinary), {k: _Cost(v) for k, v in self.categories.items()}
         return self._made
 
-    def window_score(self, window: str) -> tuple[str, float]:
-        """The category that saves most against ordinary text, and bytes saved per character."""
+    def window_score(self, window: str) -> dict[str, float]:
+        """The categories that save most against ordinary text, and bytes saved per character; every window is asked of every dictionary."""
         ordinary, categories = self._costs()
-        base = ordinary(window)
-        if base <= 0.25 * _size(window):  # nothing a category's dictionary could save would count
-            return CATEGORIES[0], 0.0
-        costs = {k: c(window) for k, c in categories.items()}
-        best = min(costs, key=costs.get)
-        return best, (base - costs[best]) / _size(window)
+        base, costs = ordinary(window), {k: c(window) for k, c in categories.items()}
+        least = min(costs.values())
+        return {k: (base - least) / _size(window) for k, c in costs.items() if c == least}
 
     def scores(self, text: str | None, of=None) -> dict[str, float]:
         """Per category the score of the document's best window, 0 at least."""
+        return self.best_of(windows(text), of)
+
+    def best_of(self, texts: Iterable[str], of=None) -> dict[str, float]:
         out = dict.fromkeys(CATEGORIES, 0.0)
-        for w in windows(text):
-            k, v = (of or self.window_score)(w)
-            out[k] = max(out[k], v)
+        for w in texts:
+            for k, v in (of or self.window_score)(w).items():
+                out[k] = max(out[k], v)
         return out
 
 
@@ -286,7 +286,7 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], c
         others = ContentModel(common({w for n, (_, ws, _) in enumerate(none) if n % 2 != half for w in ws}), content, {})
         for n, (_, ws, _) in enumerate(none):
             if n % 2 == half:
-                suspect |= {w for w in ws if frequency[w] <= 2 + len(none) // 500 and others.window_score(w)[1] > 0.25}
+                suspect |= {w for w in ws if frequency[w] <= 2 + len(none) // 500 and max(others.window_score(w).values()) > 0.25}
     ordinary = common(frequency.keys() - suspect)
     return ContentModel(ordinary, learn(ordinary), {})
 
@@ -317,10 +317,7 @@ def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None
         part = _train([r for n, r in enumerate(rows) if n % folds != fold], seeds, corpus)
         for n, (_, ws, labels) in enumerate(rows):
             if n % folds == fold and labels and not ("none" in labels and len(labels) > 1):
-                out = dict.fromkeys(CATEGORIES, 0.0)
-                for w in ws:
-                    k, v = part.window_score(w)
-                    out[k] = max(out[k], v)
+                out = part.best_of(ws)
                 for k in CATEGORIES:
                     held[k].append((out[k], k in labels))
     model.thresholds = {k: _best_threshold(held[k]) for k in CATEGORIES}

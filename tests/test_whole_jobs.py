@@ -6,7 +6,7 @@ from datetime import date
 from oracle import DATA, connect
 from pyspark.sql import functions as F
 
-from caseloom.llm import mixing
+from caseloom.llm import content, mixing
 from caseloom.operators import conform, signals
 from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
@@ -68,3 +68,15 @@ def test_payloads_without_a_recorded_hash_or_in_capitals_are_deduplicated(spark,
     rows = [(message, sha), (message, sha.upper()), (message, None), (other, None), ("MSH|", None)]
     sheet = conform.balance_sheet(conform.judged_messages(spark.createDataFrame([(p, h, "2026-03-11") for p, h in rows], "payload_hl7 string, _payload_sha256 string, ingest_date string"))).first()
     assert (sheet.bronze, sheet.rejected, sheet.silver, sheet.deduplicated) == (5, 1, 2, 2)
+
+
+def test_abuse_in_well_known_ordinary_wording_is_scored():
+    w = "afterwards that the receptionist answering telephones yesterday was a stupid cow"
+    ordinary = b"the receptionist answering telephones yesterday was polite\nafterwards that the receptionist answering telephones yesterday was a"
+    model = content.ContentModel(ordinary, {"abusive": w.encode(), "hateful": b"they are vermin", "sexual": b"send nudes"}, {})
+    base = model._costs()[0](w)
+    assert base <= 0.25 * len(w)
+    assert model.scores(w)["abusive"] == (base - content._Cost(w.encode())(w)) / len(w) > 0.08
+    # Where two categories save alike, both are credited.
+    model = content.ContentModel(b"good day", {"abusive": w.encode(), "hateful": w.encode(), "sexual": b"send nudes"}, {})
+    assert model.scores(w)["abusive"] == model.scores(w)["hateful"] > 0.11
