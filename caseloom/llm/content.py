@@ -127,39 +127,45 @@ def windows(text: str | None) -> list[str]:
 
 
 class _Cost:
-    """Bytes of a window under a dictionary of raw text, frame overhead taken off."""
+    """Bytes of a window under the best of some dictionaries of raw text, frame overhead taken off."""
 
-    def __init__(self, content: bytes):
+    def __init__(self, contents: list[bytes]):
+        self._compress = [self._compressor(c) for c in contents]
+
+    @staticmethod
+    def _compressor(content: bytes):
         dictionary = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         how = zstandard.ZstdCompressionParameters.from_level(
             19, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
         )
-        self._compress = zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress
+        return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress
 
     def __call__(self, window: str) -> int:
-        return len(self._compress(window.encode())) - _OVERHEAD
+        raw = window.encode()
+        return min(len(c(raw)) for c in self._compress) - _OVERHEAD
 
 
 def _size(window: str) -> int:
     return max(len(window), _SHORTEST)
 
 
-def _content(texts: Iterable[str], most: int = 1 << 20) -> bytes:
-    """The first texts that fit, the first of them last, where matches are cheapest."""
-    kept, total = [], 0
+def _content(texts: Iterable[str], most: int = 1 << 20) -> list[bytes]:
+    """All texts as dictionaries of at most ``most`` bytes, the first texts of each last, where matches are cheapest."""
+    parts, total = [[]], 0
     for t in texts:
         b = t.encode()
         total += len(b) + 1
-        if total > most:
-            break
-        kept.append(b)
-    return b"\n".join(reversed(kept))
+        if total > most and parts[-1]:
+            parts.append([])
+            total = len(b) + 1
+        parts[-1].append(b)
+    return [b"\n".join(reversed(p)) for p in parts]
 
 
 class ContentModel:
     """Dictionaries and thresholds. Pickles as bytes; compressors are made where it is used."""
 
-    def __init__(self, ordinary: bytes, categories: dict[str, bytes], thresholds: dict[str, float]):
+    def __init__(self, ordinary: list[bytes], categories: dict[str, list[bytes]], thresholds: dict[str, float]):
         self.ordinary, self.categories, self.thresholds = ordinary, categories, thresholds
         self._made = None
 
@@ -260,7 +266,7 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], c
     telling = lambda w: {x for x in _words(w) if len(x) > 2 and (seen[x] <= rare or x in telltale_words) and x not in common_words}
     start = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in CATEGORIES}
 
-    def learn(ordinary: bytes) -> dict[str, bytes]:
+    def learn(ordinary: list[bytes]) -> dict[str, list[bytes]]:
         cost = _Cost(ordinary)
         found = {
             (w, i): labels
@@ -373,7 +379,7 @@ def score_documents(documents: DataFrame, model: ContentModel) -> DataFrame:
     Defined results: NULL, blank and very short texts score 0; very long ones are read whole, window by
     window; copies score alike; repeated rows each give a row; an empty table gives none.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded: a dictionary holds 1 MB at most
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the texts of max_reviewed documents
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

@@ -1,6 +1,7 @@
 """Registered queries do the whole job of their operator."""
 
 import hashlib
+import random
 from datetime import date
 
 from oracle import DATA, connect
@@ -72,11 +73,20 @@ def test_payloads_without_a_recorded_hash_or_in_capitals_are_deduplicated(spark,
 
 def test_abuse_in_well_known_ordinary_wording_is_scored():
     w = "afterwards that the receptionist answering telephones yesterday was a stupid cow"
-    ordinary = b"the receptionist answering telephones yesterday was polite\nafterwards that the receptionist answering telephones yesterday was a"
-    model = content.ContentModel(ordinary, {"abusive": w.encode(), "hateful": b"they are vermin", "sexual": b"send nudes"}, {})
+    ordinary = [b"the receptionist answering telephones yesterday was polite\nafterwards that the receptionist answering telephones yesterday was a"]
+    model = content.ContentModel(ordinary, {"abusive": [w.encode()], "hateful": [b"they are vermin"], "sexual": [b"send nudes"]}, {})
     base = model._costs()[0](w)
     assert base <= 0.25 * len(w)
-    assert model.scores(w)["abusive"] == (base - content._Cost(w.encode())(w)) / len(w) > 0.08
+    assert model.scores(w)["abusive"] == (base - content._Cost([w.encode()])(w)) / len(w) > 0.08
     # Where two categories save alike, both are credited.
-    model = content.ContentModel(b"good day", {"abusive": w.encode(), "hateful": w.encode(), "sexual": b"send nudes"}, {})
+    model = content.ContentModel([b"good day"], {"abusive": [w.encode()], "hateful": [w.encode()], "sexual": [b"send nudes"]}, {})
     assert model.scores(w)["abusive"] == model.scores(w)["hateful"] > 0.11
+
+
+def test_dictionaries_hold_all_texts_however_many():
+    rng = random.Random(5)
+    texts = sorted(" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(10)) for _ in range(20_000))
+    parts = content._content(texts)
+    assert all(len(p) <= 1 << 20 for p in parts) and {t for p in parts for t in p.decode().split("\n")} == set(texts)
+    cost = content._Cost(parts)
+    assert all(cost(t) < 0.25 * len(t) for t in (texts[0], texts[10_000], texts[-1]))
