@@ -74,12 +74,12 @@ def gate_breaches(metrics: dict[str, float], gates: dict = GATES) -> list[str]:
 
 
 def gate_table(metrics: DataFrame, gates: dict = GATES) -> DataFrame:
-    """gate, value, bound, breached for a one-row frame of metrics."""
-    present = {n: g for n, g in gates.items() if n in metrics.columns}
+    """gate, value, bound, breached for a one-row frame of metrics; a gate without its metric has no value and is breached."""
+    value = {n: F.col(n).cast("double") if n in metrics.columns else F.lit(None).cast("double") for n in gates}
     rows = F.array(*[
-        F.struct(F.lit(n).alias("gate"), F.col(n).cast("double").alias("value"), F.lit(b).cast("double").alias("bound"),
-                 F.coalesce((F.col(n) < b) if kind == "least" else (F.col(n) > b), F.lit(True)).alias("breached"))
-        for n, (kind, b) in present.items()
+        F.struct(F.lit(n).alias("gate"), value[n].alias("value"), F.lit(b).cast("double").alias("bound"),
+                 F.coalesce((value[n] < b) if kind == "least" else (value[n] > b), F.lit(True)).alias("breached"))
+        for n, (kind, b) in gates.items()
     ])
     return metrics.select(F.inline(rows))
 

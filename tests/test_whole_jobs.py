@@ -8,7 +8,7 @@ from oracle import DATA, connect
 from pyspark.sql import functions as F
 
 from caseloom.llm import content, mixing
-from caseloom.operators import conform, signals
+from caseloom.operators import conform, evals, signals
 from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
 from caseloom.plans.corpus import WINDOWS
@@ -90,3 +90,22 @@ def test_dictionaries_hold_all_texts_however_many():
     assert all(len(p) <= 1 << 20 for p in parts) and {t for p in parts for t in p.decode().split("\n")} == set(texts)
     cost = content._Cost(parts)
     assert all(cost(t) < 0.25 * len(t) for t in (texts[0], texts[10_000], texts[-1]))
+
+
+def test_every_case_is_scored_and_every_gate_reported(spark):
+    d = f"{DATA}/sf0.01"
+    r = QUERIES["extraction_eval"](spark, d).first()
+    n, multiples = connect(d).execute("""SELECT count(*), count(*) FILTER (WHERE CAST(right(message_control_id, 5) AS INTEGER) % 97 = 0) FROM
+      (SELECT DISTINCT message_control_id, report_date FROM ecr_cases WHERE report_date IS NOT NULL AND message_control_id IS NOT NULL)""").fetchone()
+    assert multiples > 0 and (r.n_cases, r.schema_failure_rate) == (n, 0.0)
+    gates = {g.gate: (g.value is not None, g.breached) for g in QUERIES["gates"](spark, d).collect()}
+    assert set(gates) == set(evals.GATES) and gates["citation_accuracy"][0] and gates["refusal_accuracy"][0]
+    missing = {g.gate: (g.value, g.breached) for g in evals.gate_table(QUERIES["extraction_eval"](spark, d)).collect()}
+    assert missing["citation_accuracy"] == missing["refusal_accuracy"] == (None, True) and missing["schema_failure_rate"] == (0.0, False)
+
+
+def test_a_failed_extraction_is_counted_and_left_out_of_the_rates(spark):
+    one = lambda got, failed: (got, ["fever"], "2026-03-01", "2026-03-01", "lake", "Lake", False, False, failed)
+    df = spark.createDataFrame([one(["fever"], False), one(["cough"], True)], "got_symptoms array<string>, want_symptoms array<string>, got_onset string, want_onset string, got_exposure string, want_exposure string, got_travel boolean, want_travel boolean, failed boolean")
+    r = evals.extraction_eval(df).first()
+    assert (r.n_cases, r.schema_failure_rate, r.symptom_f1) == (2, 0.5, 1.0)
