@@ -41,13 +41,14 @@ def outbreak_windows(spark: SparkSession, days: int, n_facilities: int, end: str
     )
 
 
-def poisson(mean: Column, u: Column, most: int = 30) -> Column:
-    """The inverse of the distribution function at u, by a fold over its terms."""
+def poisson(mean: Column, u: Column) -> Column:
+    """The inverse of the distribution function at u, by a fold over as many terms as the mean needs."""
+    most = F.ceil(mean + 12 * F.sqrt(mean) + 20).cast("int")
     step = lambda acc, k: F.struct(
         (acc["p"] * mean / k).alias("p"), (acc["cdf"] + acc["p"] * mean / k).alias("cdf"), F.when(u > acc["cdf"], k.cast("int")).otherwise(acc["n"]).alias("n")
     )
     first = F.struct(F.exp(-mean).alias("p"), F.exp(-mean).alias("cdf"), F.lit(0).alias("n"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(most)).cast("array<double>"), first, step, lambda a: a["n"])
+    return F.aggregate(F.sequence(F.lit(1), most).cast("array<double>"), first, step, lambda a: a["n"])
 
 
 def case_plan(spark: SparkSession, days: int, n_facilities: int, end: str, seed: int = 42) -> DataFrame:

@@ -379,7 +379,7 @@ def stream_dedupe(s, d):
 
 
 def synthetic_messages(s, d):
-    out = generate.messages(s, days=30, facilities=6)
+    out = generate.messages(s)
     return out.groupBy("ingest_date").agg(F.count("*").alias("messages"), F.countDistinct("message_id").alias("distinct_messages"))
 
 

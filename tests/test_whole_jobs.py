@@ -8,7 +8,7 @@ from oracle import DATA, connect
 from pyspark.sql import functions as F
 
 from caseloom.llm import content, mixing
-from caseloom.operators import conform, evals, signals
+from caseloom.operators import conform, evals, generate, signals
 from caseloom.operators.features import FEATURE_COLUMNS
 from caseloom.plans import catalogue
 from caseloom.plans.corpus import WINDOWS
@@ -109,3 +109,10 @@ def test_a_failed_extraction_is_counted_and_left_out_of_the_rates(spark):
     df = spark.createDataFrame([one(["fever"], False), one(["cough"], True)], "got_symptoms array<string>, want_symptoms array<string>, got_onset string, want_onset string, got_exposure string, want_exposure string, got_travel boolean, want_travel boolean, failed boolean")
     r = evals.extraction_eval(df).first()
     assert (r.n_cases, r.schema_failure_rate, r.symptom_f1) == (2, 0.5, 1.0)
+
+
+def test_the_generator_runs_with_its_defaults_and_without_a_limit(spark):
+    days = [r.ingest_date for r in QUERIES["synthetic_messages"](spark, f"{DATA}/sf0.001").collect()]
+    assert len(days) >= 240 and min(days) == "2025-11-03"
+    draw = spark.createDataFrame([(28.0, 0.99), (28.0, 0.5), (0.2, 0.5), (100.0, 0.5)], "m double, u double").select(generate.poisson(F.col("m"), F.col("u")).alias("n"))
+    assert [r.n for r in draw.collect()] == [41, 28, 0, 100]
