@@ -46,4 +46,11 @@ CONDITION_GROUPS = {
     "respiratory": ("RSV infection", "Legionellosis", "Mumps", "Measles", "Tuberculosis"),
 }
 
-EXPOSURES = ["wedding buffet", "swimming lake", "petting farm", "street market", "care home"]
+#: What the evaluation's notes are written with. Some of it is beyond the rule backend, so that no rate is 1 by construction.
+EXPOSURES = ["wedding buffet", "swimming lake", "petting farm", "street market", "care home", "St. Brannoc fair"]
+NOTE_TERMS = [
+    "watery stools", "pyrexia", "abdominal cramps", "fever", "nausea", "emesis", "jaundice", "fatigue", "dark urine", "coughing fits",
+    "cough", "queasiness", "myalgia", "sore throat", "loss of taste", "shortness of breath", "bloody stools",
+]
+ONSET_PHRASES = ["Symptom onset reported as "] * 6 + ["Unwell since "]
+TRAVEL_PHRASES = [". Reports recent travel abroad.", ". Reports recent travel by ship.", ". Came back from abroad."]

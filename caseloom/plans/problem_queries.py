@@ -18,11 +18,11 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_loaded(spark: SparkSession, d: str) -> DataFrame:
-    valid, _ = rejects.load_messages(table(spark, d, "ecr_messages"))
-    return valid.select(
-        "row_id", F.date_format("message_ts", "yyyy-MM-dd HH:mm:ss").alias("message_ts"), "facility_id", "patient_key",
-        "condition_code", "result_code", F.col("report_date").cast("string").alias("report_date"),
+    loaded = lambda name, key: rejects.load_messages(table(spark, d, name))[0].select(
+        F.lit(name).alias("source_table"), F.col(key).alias("row_key"), F.date_format("message_ts", "yyyy-MM-dd HH:mm:ss").alias("message_ts"), "facility_id",
+        "patient_key", "condition_code", "result_code", F.col("report_date").cast("string").alias("report_date"),
     )
+    return loaded("ecr_messages", "row_id").unionByName(loaded("ecr_rejects", "reject_id"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -142,10 +142,10 @@ SELECT DISTINCT source_table, row_key, r.reason FROM (
   SELECT source_table, row_key, 'no_header' AS reason FROM flags WHERE NOT headed
   UNION ALL SELECT source_table, row_key, reason FROM flags, LATERAL (VALUES {_REASONS}) AS v(reason, holds) WHERE headed AND holds) r""",
     "p1_loaded": f"""WITH {_CHECKED}
-SELECT row_key AS row_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS message_ts,
+SELECT source_table, row_key, strftime(ts, '%Y-%m-%d %H:%M:%S') AS message_ts,
   nullif(nullif(msh[4], ''), '""') AS facility_id, pk AS patient_key, cc AS condition_code, rc AS result_code,
   CAST(CAST(rd AS DATE) AS VARCHAR) AS report_date
-FROM flags WHERE source_table = 'ecr_messages' AND headed
+FROM flags WHERE headed
   AND NOT EXISTS (SELECT 1 FROM (VALUES {_REASONS}) AS v(reason, holds) WHERE holds)""",
     "p3_found": f"""WITH {_DELIVERIES}
 SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY k ORDER BY moment ASC NULLS LAST, row_id) AS rn FROM keyed) WHERE rn > 1""",

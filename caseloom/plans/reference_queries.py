@@ -11,7 +11,7 @@ from caseloom.functions.hl7 import FIELD_MAP, parse_messages
 from caseloom.functions.keys import age_band, age_years, date_spine, surrogate_key
 from caseloom.operators import conform, evals, extract, features, generate, gold, metrics, quality, retrieval, signals
 from caseloom.operators.identity import payload_sha256
-from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, QUESTIONS, WINDOWS
+from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, NOTE_TERMS, ONSET_PHRASES, QUESTIONS, TRAVEL_PHRASES, WINDOWS
 from caseloom.session import stored
 from caseloom.sources import landing
 from caseloom.sources.tables import table
@@ -151,11 +151,11 @@ def accepted_check(s, d):
 
 
 def fk_check(s, d):
-    return quality.relationships(table(s, d, "documents"), "facility_id", table(s, d, "dim_facility"), "facility_id")
+    return quality.relationships(table(s, d, "extraction_results"), "message_control_id", table(s, d, "ecr_cases"), "message_control_id")
 
 
 def range_check(s, d):
-    return quality.accepted_range(table(s, d, "fct_case_daily"), "case_count", least=0, most=30).select("case_daily_sk", "case_count")
+    return quality.accepted_range(table(s, d, "ecr_cases"), "age_years", least=0, most=120).select("message_control_id", "age_years")
 
 
 def reconcile_check(s, d):
@@ -164,7 +164,8 @@ def reconcile_check(s, d):
 
 
 def future_check(s, d):
-    return quality.no_future_dates(_stg(s, d)).select("case_id", *_text("report_date", "ingest_date"))
+    rows = parse_messages(table(s, d, "ecr_messages")).select("row_id", "report_date", F.col("ingest_date").try_cast("date").alias("ingest_date"))
+    return quality.no_future_dates(rows).select("row_id", *_text("report_date", "ingest_date"))
 
 
 # --- features and metrics ---------------------------------------------------------------------------
@@ -329,12 +330,12 @@ def golden_notes(cases: DataFrame) -> DataFrame:
     return (
         c.withColumn("k", n)
         .withColumns({
-            "s1": pick(extract.LEXICON, k), "s2": pick(extract.LEXICON, k + 4), "want_exposure": pick(EXPOSURES, k),
+            "s1": pick(NOTE_TERMS, k), "s2": pick(NOTE_TERMS, k + 4), "want_exposure": pick(EXPOSURES, k),
             "want_travel": k % 6 == 0, "want_onset": F.date_sub("r", (k % 8 + 2).cast("int")).cast("string"),
         })
         .withColumn("note", F.concat(
-            F.lit("Adult presenting with "), "s1", F.lit(" and "), "s2", F.lit(". Symptom onset reported as "), "want_onset",
-            F.lit(". Exposure history: "), "want_exposure", F.when(F.col("want_travel"), ". Reports recent travel abroad.").otherwise(". No travel."),
+            F.lit("Adult presenting with "), "s1", F.lit(" and "), "s2", F.lit(". "), pick(ONSET_PHRASES, k), "want_onset",
+            F.lit(". Exposure history: "), "want_exposure", F.when(F.col("want_travel"), pick(TRAVEL_PHRASES, k)).otherwise(". No travel."),
         ))
         .withColumn("symptoms", F.array("s1", "s2"))
     )

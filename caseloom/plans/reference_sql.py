@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from caseloom.operators.evals import GATES
 from caseloom.operators.extract import LEXICON, VOCABULARY
 from caseloom.operators.retrieval import STOP_WORDS
-from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, QUESTIONS, WINDOWS
+from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, NOTE_TERMS, ONSET_PHRASES, QUESTIONS, TRAVEL_PHRASES, WINDOWS
 
 
 def _q(v) -> str:
@@ -45,6 +46,9 @@ judged AS (SELECT *, list_filter([
   lambda x: x IS NOT NULL) AS f FROM parsed)
 """
 
+#: The recorded hash in one spelling, else computed.
+_SHA = "CASE WHEN regexp_full_match(_payload_sha256, '[0-9a-fA-F]{64}') THEN lower(_payload_sha256) ELSE sha256(payload_hl7) END"
+
 _BAND = "CASE WHEN {0} < 5 THEN '0-4' WHEN {0} < 18 THEN '5-17' WHEN {0} < 50 THEN '18-49' WHEN {0} < 65 THEN '50-64' {1} ELSE '65+' END"
 
 # --- gold -------------------------------------------------------------------------------------------
@@ -166,23 +170,48 @@ def _mapped(terms: str) -> str:
     return f"list_sort(list_distinct(list_filter(list_transform({terms}, lambda t: {_entry('t')}), lambda c: c IS NOT NULL)))"
 
 
+def _onset(note: str) -> str:
+    return rf"nullif(regexp_extract({note}, 'onset reported as (\d{{4}}-\d{{2}}-\d{{2}})', 1), '')"
+
+
+def _exposure(note: str) -> str:
+    return rf"trim(nullif(regexp_extract({note}, 'exposure history: ([^.]+)\.', 1), ''))"
+
+
+def _travel(note: str) -> str:
+    return f"contains({note}, 'reports recent travel')"
+
+
 _GOLDEN = f"""
 g AS (SELECT DISTINCT message_control_id, CAST(report_date AS DATE) AS r, CAST(right(message_control_id, 5) AS INTEGER) AS k FROM ecr_cases
   WHERE report_date IS NOT NULL AND message_control_id IS NOT NULL),
-h AS (SELECT *, {_list(LEXICON)}[k % {len(LEXICON)} + 1] AS s1, {_list(LEXICON)}[(k + 4) % {len(LEXICON)} + 1] AS s2, {_list(EXPOSURES)}[k % {len(EXPOSURES)} + 1] AS want_exposure,
+h AS (SELECT *, {_list(NOTE_TERMS)}[k % {len(NOTE_TERMS)} + 1] AS s1, {_list(NOTE_TERMS)}[(k + 4) % {len(NOTE_TERMS)} + 1] AS s2, {_list(EXPOSURES)}[k % {len(EXPOSURES)} + 1] AS want_exposure,
   CAST(r - CAST(k % 8 + 2 AS INTEGER) AS VARCHAR) AS want_onset, k % 6 = 0 AS want_travel FROM g),
-n AS (SELECT *, lower('Adult presenting with ' || s1 || ' and ' || s2 || '. Symptom onset reported as ' || want_onset || '. Exposure history: ' || want_exposure) AS note FROM h),
-e AS (SELECT *, {_mapped('[s1, s2]')} AS want, {_mapped(_found('note'))} AS got FROM n)
+n AS (SELECT *, lower('Adult presenting with ' || s1 || ' and ' || s2 || '. ' || {_list(ONSET_PHRASES)}[k % {len(ONSET_PHRASES)} + 1] || want_onset || '. Exposure history: ' || want_exposure
+  || CASE WHEN want_travel THEN {_list(TRAVEL_PHRASES)}[k % {len(TRAVEL_PHRASES)} + 1] ELSE '. No travel.' END) AS note FROM h),
+e AS (SELECT *, {_mapped('[s1, s2]')} AS want, {_mapped(_found('note'))} AS got, {_onset('note')} AS got_onset,
+  coalesce({_exposure('note')}, '') = lower(want_exposure) AS exposure_ok, {_travel('note')} = want_travel AS travel_ok FROM n),
+j AS (SELECT *, coalesce(got_onset, '') = want_onset AS onset_ok, list_filter(want, lambda x: NOT list_contains(got, x)) AS missing,
+  list_filter(got, lambda x: NOT list_contains(want, x)) AS spurious,
+  TRY_CAST(got_onset AS DATE) IS NOT NULL AND NOT contains(note, CAST(TRY_CAST(got_onset AS DATE) AS VARCHAR)) AS failed FROM e)
 """
 
 _EVAL = f"""{_GOLDEN},
-m AS (SELECT count(*) AS n_cases, count(*) FILTER (WHERE k % 97 = 0) AS failures,
-  sum(len(list_intersect(got, want))) FILTER (WHERE k % 97 <> 0) AS tp, sum(len(list_filter(got, lambda x: NOT list_contains(want, x)))) FILTER (WHERE k % 97 <> 0) AS fp,
-  sum(len(list_filter(want, lambda x: NOT list_contains(got, x)))) FILTER (WHERE k % 97 <> 0) AS fn FROM e),
+m AS (SELECT count(*) AS n_cases, count(*) FILTER (WHERE failed) AS failures, sum(len(list_intersect(got, want))) FILTER (WHERE NOT failed) AS tp,
+  sum(len(spurious)) FILTER (WHERE NOT failed) AS fp, sum(len(missing)) FILTER (WHERE NOT failed) AS fn,
+  avg(CAST(onset_ok AS INTEGER)) FILTER (WHERE NOT failed) AS onset, avg(CAST(exposure_ok AS INTEGER)) FILTER (WHERE NOT failed) AS exposure,
+  avg(CAST(travel_ok AS INTEGER)) FILTER (WHERE NOT failed) AS travel FROM j),
 metrics AS (SELECT n_cases, failures::DOUBLE / n_cases AS schema_failure_rate, round(tp::DOUBLE / (tp + fp), 4) AS symptom_precision, round(tp::DOUBLE / (tp + fn), 4) AS symptom_recall,
-  round(2 * tp::DOUBLE / (2 * tp + fp + fn), 4) AS symptom_f1, 1.0::DOUBLE AS onset_exact, 1.0::DOUBLE AS exposure_exact, 1.0::DOUBLE AS travel_accuracy FROM m)
+  round(2 * tp::DOUBLE / (2 * tp + fp + fn), 4) AS symptom_f1, round(onset, 4) AS onset_exact, round(exposure, 4) AS exposure_exact, round(travel, 4) AS travel_accuracy FROM m)
 """
 
+_FOUND = f"""{_ANSWERS}, asked AS (SELECT * FROM (VALUES {_values(QUESTIONS)}) v(query_id, question, expect_doc, answerable)),
+found AS (SELECT count(*) AS n_cases, round(avg(CAST(citations = expect_doc AS INTEGER)) FILTER (WHERE answerable), 4) AS citation_accuracy,
+  round(avg(CAST(answer = 'INSUFFICIENT_CONTEXT' AS INTEGER)) FILTER (WHERE NOT answerable), 4) AS refusal_accuracy FROM asked JOIN answers USING (query_id))
+"""
+
+_GATES = ", ".join(f"({_q(n)}, {n}, {b}::DOUBLE, {n} {'<' if kind == 'least' else '>'} {b})" for n, (kind, b) in GATES.items())
+
 SQL = {
     "hl7_parse": f"""WITH {_PARSED} SELECT row_id, strftime(message_ts, '%Y-%m-%d %H:%M:%S') AS message_ts, sending_application, facility_id, message_type, message_control_id, hl7_version,
   patient_key, CAST(birth_date AS VARCHAR) AS birth_date, sex, county, state, postal_code, CAST(specimen_collection_date AS VARCHAR) AS specimen_collection_date, condition_code,
@@ -191,10 +220,10 @@ SQL = {
     "dq_split": f"WITH {_PARSED} SELECT count(*) FILTER (WHERE len(f) = 0) AS clean, count(*) FILTER (WHERE len(f) > 0) AS rejected FROM judged",
     "dq_histogram": f"WITH {_PARSED} SELECT rule, count(*) AS failures FROM (SELECT unnest(f) AS rule FROM judged) GROUP BY rule",
     "balance_sheet": f"""WITH {_PARSED}, b AS (SELECT count(*) AS bronze, count(*) FILTER (WHERE len(f) > 0) AS rejected,
-  count(DISTINCT coalesce(_payload_sha256, '')) FILTER (WHERE len(f) = 0) AS silver FROM judged) SELECT *, bronze - rejected - silver AS deduplicated FROM b""",
-    "dedupe_first": """SELECT _payload_sha256, row_id, n AS retransmission_count FROM (SELECT *, row_number() OVER (PARTITION BY _payload_sha256
-  ORDER BY received_at NULLS FIRST, _ingest_ts NULLS FIRST, message_id NULLS FIRST, row_id) AS rn, count(*) OVER (PARTITION BY _payload_sha256) - 1 AS n
-  FROM ecr_messages WHERE _payload_sha256 IS NOT NULL) WHERE rn = 1""",
+  count(DISTINCT coalesce({_SHA}, '')) FILTER (WHERE len(f) = 0) AS silver FROM judged) SELECT *, bronze - rejected - silver AS deduplicated FROM b""",
+    "dedupe_first": f"""SELECT sha AS _payload_sha256, row_id, n AS retransmission_count FROM (SELECT *, row_number() OVER (PARTITION BY sha
+  ORDER BY received_at NULLS FIRST, _ingest_ts NULLS FIRST, message_id NULLS FIRST, row_id) AS rn, count(*) OVER (PARTITION BY sha) - 1 AS n
+  FROM (SELECT *, {_SHA} AS sha FROM ecr_messages) WHERE sha IS NOT NULL) WHERE rn = 1""",
     "silver_cases": f"""WITH {_PARSED}, d AS (SELECT *, sha256(payload_hl7) AS sha, row_number() OVER (PARTITION BY sha256(payload_hl7) ORDER BY received_at NULLS FIRST, _ingest_ts NULLS FIRST, message_id NULLS FIRST) AS rn,
   count(*) OVER (PARTITION BY sha256(payload_hl7)) - 1 AS n, datesub('year', birth_date, report_date) AS age FROM judged WHERE len(f) = 0)
 SELECT sha AS _payload_sha256, facility_id, age AS age_years, {_BAND.format('age', '')} AS age_band, result_code = 'POS' AS is_positive, strftime(report_date, '%Y-%m') AS report_month,
@@ -221,14 +250,15 @@ SELECT sha AS _payload_sha256, facility_id, age AS age_years, {_BAND.format('age
     ),
     "unique_check": "SELECT case_daily_sk AS value, count(*) AS times FROM fct_case_daily WHERE case_daily_sk IS NOT NULL GROUP BY 1 HAVING count(*) > 1",
     "accepted_check": "SELECT sex AS value, count(*) AS times FROM ecr_cases WHERE sex NOT IN ('M', 'F', 'O', 'U') GROUP BY 1",
-    "fk_check": "SELECT facility_id AS value, count(*) AS times FROM documents d WHERE facility_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_facility f WHERE f.facility_id = d.facility_id) GROUP BY 1",
-    "range_check": "SELECT case_daily_sk, case_count FROM fct_case_daily WHERE case_count < 0 OR case_count > 30",
+    "fk_check": """SELECT message_control_id AS value, count(*) AS times FROM extraction_results e WHERE message_control_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM ecr_cases c WHERE c.message_control_id = e.message_control_id) GROUP BY 1""",
+    "range_check": "SELECT message_control_id, age_years FROM ecr_cases WHERE age_years < 0 OR age_years > 120",
     "reconcile_check": f"""WITH {_FACT} SELECT * FROM (SELECT CAST(coalesce(sum(case_count), 0) AS BIGINT) AS gold_cases FROM fact),
   (SELECT count(*) AS silver_cases FROM stg WHERE report_date BETWEEN DATE '2025-11-03' AND DATE '2026-06-30') WHERE gold_cases <> silver_cases""",
-    "future_check": f"WITH {_STG} SELECT case_id, CAST(report_date AS VARCHAR) AS report_date, CAST(ingest_date AS VARCHAR) AS ingest_date FROM stg WHERE report_date > ingest_date",
+    "future_check": f"WITH {_PARSED} SELECT row_id, CAST(report_date AS VARCHAR) AS report_date, ingest_date FROM parsed WHERE report_date > TRY_CAST(ingest_date AS DATE)",
     "label_days": f"WITH {_LABELS} SELECT facility_id, condition_name, 1 AS is_outbreak_day, CAST(report_date AS VARCHAR) AS report_date FROM labels",
     "range_lookup": f"""WITH {_FACT}, {_LABELS}, r AS (SELECT f.report_date, f.facility_id, f.condition_name, w.multiplier, row_number() OVER (PARTITION BY f.report_date, f.facility_id, f.condition_code ORDER BY w.a) AS rn
-  FROM fact f JOIN win w ON w.facility_id = f.facility_id AND w.condition_name = f.condition_name AND f.report_date BETWEEN w.a AND w.b WHERE f.facility_id <= 'FX000004')
+  FROM fact f JOIN win w ON w.facility_id = f.facility_id AND w.condition_name = f.condition_name AND f.report_date BETWEEN w.a AND w.b)
 SELECT facility_id, condition_name, multiplier::DOUBLE AS multiplier, CAST(report_date AS VARCHAR) AS report_date FROM r WHERE rn = 1""",
     "outbreak_features": f"""WITH {_FEATURES} SELECT facility_id, condition_code, case_count, lag_1_cases, lag_7_cases, delta_1_cases, day_of_week, is_weekend, is_enteric, is_respiratory, is_outbreak_day,
   CAST(report_date AS VARCHAR) AS report_date, round(prior_mean_cases, 6) AS prior_mean_cases, round(ratio_to_baseline, 6) AS ratio_to_baseline, round(baseline_z, 6) AS baseline_z FROM feat""",
@@ -252,22 +282,18 @@ SELECT round(CAST(sum(pos::DOUBLE / p * cp / cn) AS DOUBLE), 6) AS average_preci
     "refusal_floor": f"""WITH {_bm25(_DOCUMENTS, DOCUMENT_QUESTIONS)} SELECT q.query_id, round(max(score), 6) AS best, coalesce(max(score) < 5, true) AS refused
   FROM q LEFT JOIN ranked ON ranked.query_id = q.query_id GROUP BY 1""",
     "grounded_answers": f"WITH {_ANSWERS} SELECT query_id, answer, grounded, citations FROM answers",
-    "retrieval_eval": f"""WITH {_ANSWERS}, x AS (SELECT * FROM (VALUES {_values(QUESTIONS)}) v(query_id, question, expect_doc, answerable))
-SELECT count(*) AS n_cases, round(avg(CAST(citations = expect_doc AS INTEGER)) FILTER (WHERE answerable), 4) AS citation_accuracy,
-  round(avg(CAST(answer = 'INSUFFICIENT_CONTEXT' AS INTEGER)) FILTER (WHERE NOT answerable), 4) AS refusal_accuracy FROM x JOIN answers USING (query_id)""",
-    "stub_extract": f"""SELECT message_control_id, array_to_string({_found('n')}, ',') AS symptoms, nullif(regexp_extract(n, 'onset reported as (\\d{{4}}-\\d{{2}}-\\d{{2}})', 1), '') AS onset_date,
-  trim(nullif(regexp_extract(n, 'exposure history: ([^.]+)\\.', 1), '')) AS exposure_setting, contains(n, 'reports recent travel') AS recent_travel
+    "retrieval_eval": f"WITH {_FOUND} SELECT * FROM found",
+    "stub_extract": f"""SELECT message_control_id, array_to_string({_found('n')}, ',') AS symptoms, {_onset('n')} AS onset_date,
+  {_exposure('n')} AS exposure_setting, {_travel('n')} AS recent_travel
   FROM (SELECT DISTINCT message_control_id, clinical_note, lower(clinical_note) AS n FROM ecr_cases WHERE clinical_note IS NOT NULL)""",
     "vocab_map": f"""WITH t AS (SELECT extraction_id, list_filter(list_transform(list_filter(coalesce(symptoms, []), lambda t: t IS NOT NULL), lambda t: lower(trim(t))), lambda t: t <> '') AS ts FROM extraction_results)
 SELECT extraction_id, array_to_string({_mapped('ts')}, ',') AS symptoms_mapped, array_to_string(list_filter(ts, lambda t: ({_entry('t')}) IS NULL), ',') AS unmapped_terms FROM t""",
     "date_grounding": """WITH n AS (SELECT message_control_id, max(clinical_note) AS note FROM ecr_cases GROUP BY 1)
 SELECT extraction_id, onset_date IS NULL OR coalesce(contains(note, CAST(CAST(onset_date AS DATE) AS VARCHAR)), false) AS grounded FROM extraction_results LEFT JOIN n USING (message_control_id)""",
     "extraction_eval": f"WITH {_EVAL} SELECT * FROM metrics",
-    "worst_cases": f"""WITH {_GOLDEN} SELECT message_control_id, array_to_string(list_sort(list_filter(want, lambda x: NOT list_contains(got, x))), ',') AS missing,
-  array_to_string(list_sort(list_filter(got, lambda x: NOT list_contains(want, x))), ',') AS spurious, true AS onset_ok, true AS exposure_ok
-  FROM e WHERE k % 97 <> 0 AND list_sort(got) <> list_sort(want) ORDER BY message_control_id LIMIT 5""",
-    "gates": f"""WITH {_EVAL} SELECT gate, value::DOUBLE AS value, bound::DOUBLE AS bound, breached FROM metrics,
-  LATERAL (VALUES ('symptom_f1', symptom_f1, 0.9, symptom_f1 < 0.9), ('onset_exact', onset_exact, 0.95, onset_exact < 0.95), ('schema_failure_rate', schema_failure_rate, 0.02, schema_failure_rate > 0.02)) v(gate, value, bound, breached)""",
+    "worst_cases": f"""WITH {_GOLDEN} SELECT message_control_id, array_to_string(list_sort(missing), ',') AS missing, array_to_string(list_sort(spurious), ',') AS spurious, onset_ok, exposure_ok
+  FROM j WHERE NOT failed AND (len(missing) > 0 OR len(spurious) > 0 OR NOT onset_ok OR NOT exposure_ok) ORDER BY message_control_id LIMIT 5""",
+    "gates": f"""WITH {_EVAL}, {_FOUND} SELECT gate, value::DOUBLE AS value, bound::DOUBLE AS bound, breached FROM metrics, found, LATERAL (VALUES {_GATES}) v(gate, value, bound, breached)""",
     "stream_ingest": "SELECT ingest_date, count(*) AS messages FROM ecr_messages GROUP BY 1",
     "stream_daily": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_dedupe": "SELECT count(DISTINCT _payload_sha256) AS messages, count(DISTINCT _payload_sha256) AS payloads FROM ecr_messages",

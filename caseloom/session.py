@@ -50,11 +50,13 @@ def get_spark(app: str = "caseloom", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor shares: ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (local tests) a folder of this machine is made and set,
-    so that one session always uses one folder.
+    Only where that setting is missing and the master is local (tests) a folder of this machine is made
+    and set, so that one session always uses one folder; on a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="caseloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -24,3 +24,20 @@ def test_contract(spark):
 def test_plans_have_no_cross_join(spark, name):
     plan = QUERIES[name](spark, f"{DATA}/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_a_missing_library_costs_only_the_queries_on_texts(monkeypatch):
+    import builtins
+    import sys
+
+    real = builtins.__import__
+
+    def broken(name, *a, **k):
+        if name.startswith("caseloom.llm"):
+            raise ImportError("no zstandard here")
+        return real(name, *a, **k)
+
+    for m in [m for m in sys.modules if m.startswith("caseloom.llm")]:
+        monkeypatch.delitem(sys.modules, m)
+    monkeypatch.setattr(builtins, "__import__", broken)
+    assert set(e.queries()) == set(catalogue.queries()) and set(e.oracle_sql()) == set(catalogue.oracle_sql())
