@@ -69,18 +69,53 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/caseloom/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) as the JVM has them; any file system Spark knows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a file or a folder with all in it; nothing where it is not there."""
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Deletes what operators of this library left in the shared folder. Frames that still read it fail afterwards."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/caseloom")
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    delete_path(spark, f"{shared_dir(spark)}/caseloom")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists; any other failure to look is raised, not taken for absence."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none where it is not there."""
+    fs, where = _file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def create_file(spark: SparkSession, path: str, text: str = "") -> None:
+    """A new small file; fails where it is there already, so that of two writers one wins."""
+    fs, where = _file_system(spark, path)
+    out = fs.create(where, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, where = _file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def local_master() -> str:
