@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.operators.identity import deliveries
+from caseloom.operators.identity import deliveries, in_batches
 from caseloom.session import child_names, create_file, delete_path, work_path
 
 #: Columns of the buckets. ``link``: the identifier a payload came under; ``first``: see :func:`first_order`.
@@ -131,20 +131,6 @@ class MessageStore:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(*g)}")
 
 
-def in_batches(messages: DataFrame, batches: int = 2) -> list[DataFrame]:
-    """The deliveries as they came in, parted at quantiles of ``_ingest_ts``; undated ones come first."""
-    at = F.unix_micros(F.col("_ingest_ts").cast("timestamp"))
-    cuts = messages.agg(F.percentile_approx(at, F.array(*[F.lit(n / batches) for n in range(1, batches)]), F.lit(1000))).first()[0] if batches > 1 else None
-    if not cuts:
-        return [messages]
-    low = [None, *cuts]
-    parts = []
-    for a, b in zip(low, [*cuts, None]):
-        part = F.lit(True) if b is None else at.isNull() | (at <= b) if a is None else at <= b
-        parts.append(messages.where(part & (F.lit(True) if a is None else at > a)))
-    return parts
-
-
 def kept_rows(messages: DataFrame, store: MessageStore | None = None, batches: int = 2) -> DataFrame:
     """row_id of the one delivery kept of each message: an upsert for each batch, then a compaction."""
     store = store or MessageStore(messages.sparkSession)

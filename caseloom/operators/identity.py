@@ -63,3 +63,17 @@ def payload_links(rows: DataFrame) -> DataFrame:
         .where("wanted and link_id is not null")
         .select("payload_id", "link_id")
     )
+
+
+def in_batches(messages: DataFrame, batches: int = 2) -> list[DataFrame]:
+    """The deliveries as they came in, parted at quantiles of ``_ingest_ts``; undated ones come first."""
+    at = F.unix_micros(F.col("_ingest_ts").cast("timestamp"))
+    cuts = messages.agg(F.percentile_approx(at, F.array(*[F.lit(n / batches) for n in range(1, batches)]), F.lit(1000))).first()[0] if batches > 1 else None
+    if not cuts:
+        return [messages]
+    low = [None, *cuts]
+    parts = []
+    for a, b in zip(low, [*cuts, None]):
+        part = F.lit(True) if b is None else at.isNull() | (at <= b) if a is None else at <= b
+        parts.append(messages.where(part & (F.lit(True) if a is None else at > a)))
+    return parts

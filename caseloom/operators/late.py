@@ -1,50 +1,77 @@
 """Problem 4: late and out-of-order events, counted with conflict-free counters.
 
-State is a set of slots keyed by period, source and sequence (the message). A slot's version is the
-day it arrived; of two versions the earlier arrival is the greater one in the merge order, and the
-merge takes the greatest per slot. That is commutative, associative and idempotent, so batches may
-be repeated, reordered or merged from several writers. A period's count is the sum over its sources
-of the slots that are within the cut-off, so a late record corrects the period it belongs to.
+A source (facility) counts, for each period, the messages of its own sequence. A slot is keyed by period,
+source and sequence and carries a version, the rank of what is known of the message's arrival: an earlier
+arrival ranks higher. Merging takes the greatest version of each slot; a source's counter of a period is
+the sum over its slots, with the number of the merge it was made in as its own version, and of two states of a
+counter the one with the greater version holds. Both merges are commutative, associative and idempotent,
+so batches may be repeated, reordered or come from several writers. A period's count is the sum over its
+sources of what arrived within the cut-off, so a late record corrects the period it belongs to.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+from datetime import date, timedelta
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.times import utc_day
-from caseloom.operators.identity import deliveries, identifier_bytes, payload_links, plain_identifier
+from caseloom.operators.identity import deliveries, identifier_bytes, in_batches, payload_links, plain_identifier
+from caseloom.session import child_names, create_file, delete_path, read_file, stored, work_path
 
 SLOT = ["period", "source", "sequence"]
+COUNTS = ["on_time", "corrects", "too_late"]
+
+_READ = 2**40
+_EPOCH = "1970-01-01"
+
+
+def version_of(day: Column, readable: Column) -> Column:
+    """The rank of an arrival: readable receptions above all others, earlier days above later ones; NULL without a day."""
+    d = F.datediff(day, F.lit(_EPOCH).cast("date")).cast("bigint")
+    return F.when(readable, F.lit(_READ) - d).otherwise(-d)
+
+
+def arrival_of(version: Column) -> Column:
+    """The day of a :func:`version_of`."""
+    d = F.when(version > _READ // 2, F.lit(_READ) - version).otherwise(-version)
+    return F.date_add(F.lit(_EPOCH).cast("date"), d.cast("int"))
 
 
 def merge_slots(*states: DataFrame) -> DataFrame:
-    """The least upper bound of states: the earliest arrival of each slot. NULL arrivals lose."""
+    """The least upper bound of states: the greatest version of each slot. An unknown arrival (NULL) loses."""
     merged = states[0]
     for s in states[1:]:
         merged = merged.unionByName(s)
-    return merged.groupBy(*SLOT).agg(F.min("version").alias("version"))
+    return merged.groupBy(*SLOT).agg(F.max("version").alias("version"))
+
+
+def merge_counters(*states: DataFrame) -> DataFrame:
+    """Per period and source the counter with the greatest version (of equal versions, which are one counter, any)."""
+    merged = states[0]
+    for s in states[1:]:
+        merged = merged.unionByName(s)
+    return merged.groupBy("period", "source").agg(F.max(F.struct("version", *COUNTS)).alias("c")).select("period", "source", "c.*")
 
 
 def outcome(period: Column, version: Column, cutoff_days: int) -> Column:
     """``on_time``, ``corrects`` (1 to cut-off days late), ``too_late``, or NULL without an arrival."""
-    days = F.datediff(version, period)
+    days = F.datediff(arrival_of(version), period)
     return F.when(days > cutoff_days, "too_late").when(days >= 1, "corrects").when(days.isNotNull(), "on_time")
 
 
-def period_counts(state: DataFrame, cutoff_days: int = 10) -> DataFrame:
-    """Per period: count as first known, corrections, corrected count, and cases set apart as too late.
+def source_counters(slots: DataFrame, version: int, cutoff_days: int = 10) -> DataFrame:
+    """period, source, version and what the source counts for the period; unknown arrivals count as on time."""
+    o = F.coalesce(outcome(F.col("period"), F.col("version"), cutoff_days), F.lit("on_time"))
+    counted = slots.withColumn("o", o).groupBy("period", "source").agg(*[F.count_if(F.col("o") == k).alias(k) for k in COUNTS])
+    return counted.select("period", "source", F.lit(version).cast("bigint").alias("version"), *COUNTS)
 
-    Slots are added up per source first and sources per period after that, so a period or a source
-    with most of the rows is combined on the map side.
-    """
-    o = outcome(F.col("period"), F.col("version"), cutoff_days)
-    per_source = (
-        state.withColumn("o", F.coalesce(o, F.lit("on_time")))
-        .groupBy("period", "source")
-        .agg(*[F.count_if(F.col("o") == k).alias(k) for k in ("on_time", "corrects", "too_late")])
-    )
-    return per_source.groupBy("period").agg(
+
+def sum_sources(counters: DataFrame) -> DataFrame:
+    """Per period: count as first known, corrections, corrected count, cases set apart as too late, and sources."""
+    return counters.groupBy("period").agg(
         F.sum("on_time").alias("on_time"),
         F.sum("corrects").alias("corrections"),
         (F.sum("on_time") + F.sum("corrects")).alias("corrected_count"),
@@ -53,34 +80,123 @@ def period_counts(state: DataFrame, cutoff_days: int = 10) -> DataFrame:
     )
 
 
-def arrivals(messages: DataFrame) -> DataFrame:
-    """msg_id -> arrived: UTC day of the earliest readable reception, else the smallest ingest date."""
-    rows = deliveries(messages)
-    best = lambda: (F.min("moment").alias("moment"), F.min("ingest_date").alias("ingest_date"))
-    named = rows.where(F.col("msg_id").isNotNull()).select("msg_id", "moment", "ingest_date")
+def period_counts(slots: DataFrame, cutoff_days: int = 10) -> DataFrame:
+    """Counts of a state. Slots are added up per source first and sources per period after that, so a period or
+    a source with most of the rows is combined on the map side."""
+    return sum_sources(source_counters(slots, 0, cutoff_days))
+
+
+class CounterStore:
+    """Counters below a path: what is merged in stays, also for another session; one writer at a time.
+
+    A merge reads and writes only the periods its batch touches. It writes the new slots and counters beside
+    the old ones and then one manifest, named by its number, that says for each period which of them holds;
+    the greatest number counts, so a failure at any point leaves the state before. Files that no manifest
+    needs any more are deleted one merge later.
+    """
+
+    SLOTS = "period date, source string, sequence string, version bigint"
+    COUNTERS = "period date, source string, version bigint, on_time bigint, corrects bigint, too_late bigint"
+
+    def __init__(self, spark: SparkSession, path: str | None = None, cutoff_days: int = 10):
+        self.spark, self.cutoff_days = spark, cutoff_days
+        self.path = (path or work_path(spark, "counters")).rstrip("/")
+
+    def _numbers(self) -> list[int]:
+        return sorted(int(n.split("-")[1]) for n in child_names(self.spark, self.path) if n.startswith("_manifest-"))
+
+    def _manifest(self, n: int | None = None) -> dict:
+        """slots, counters: number -> periods whose newest figures are there; closed: periods before it take no more."""
+        numbers = self._numbers()
+        if not numbers:
+            return {"slots": {}, "counters": {}, "closed": None}
+        return json.loads(read_file(self.spark, f"{self.path}/_manifest-{numbers[-1] if n is None else n}"))
+
+    def _read(self, kind: str, manifest: dict, periods: set[str] | None = None) -> DataFrame:
+        out = self.spark.createDataFrame([], self.SLOTS if kind == "slots" else self.COUNTERS)
+        for n, held in manifest[kind].items():
+            wanted = sorted(set(held) & periods if periods is not None else set(held))
+            if wanted:
+                days = [F.lit(d).cast("date") for d in wanted]
+                out = out.unionByName(self.spark.read.parquet(f"{self.path}/{kind}-{n}").where(F.col("period").isin(*days)))
+        return out
+
+    def slots(self) -> DataFrame:
+        return self._read("slots", self._manifest())
+
+    def counters(self) -> DataFrame:
+        return self._read("counters", self._manifest())
+
+    def counts(self) -> DataFrame:
+        """:func:`sum_sources` of the counters, the closed periods' among them."""
+        return sum_sources(self.counters())
+
+    def set_apart(self) -> DataFrame:
+        """Slots that came for a closed period: too late to count."""
+        names = [f"{self.path}/{n}" for n in child_names(self.spark, self.path) if n.startswith("apart-") and int(n.split("-")[1]) <= max(self._numbers(), default=0)]
+        return merge_slots(self.spark.read.parquet(*names)) if names else self.spark.createDataFrame([], self.SLOTS)
+
+    def merge(self, delta: DataFrame) -> None:
+        """Merges a batch of slots into the state; the same batch again changes nothing."""
+        now, n = self._manifest(), max(self._numbers(), default=0) + 1
+        delta = stored(merge_slots(delta.select(*SLOT, "version").where("period is not null")), "delta")
+        if now["closed"]:
+            late = F.col("period") < F.lit(now["closed"]).cast("date")
+            delta.where(late).write.mode("overwrite").parquet(f"{self.path}/apart-{n}")
+            delta = delta.where(~late)
+        # As many as the calendar has days.
+        touched = {str(r.period) for r in delta.select("period").distinct().collect()}
+        # Sorted by period within a file, so that a later merge reads only the row groups of its periods.
+        merge_slots(self._read("slots", now, touched), delta).sortWithinPartitions("period").write.mode("overwrite").parquet(f"{self.path}/slots-{n}")
+        fresh = source_counters(self.spark.read.parquet(f"{self.path}/slots-{n}"), n, self.cutoff_days)
+        merge_counters(self._read("counters", now, touched), fresh).write.mode("overwrite").parquet(f"{self.path}/counters-{n}")
+        for kind in ("slots", "counters"):
+            held = {k: sorted(set(v) - touched) for k, v in now[kind].items()} | {str(n): sorted(touched)}
+            now[kind] = {k: v for k, v in held.items() if v}
+        self._name(n, now)
+
+    def evict(self, watermark: str) -> None:
+        """Closes the periods whose cut-off lies before the watermark (a day): their slots are dropped, their
+        counters stay. What still comes for them is set apart and not counted."""
+        now, n = self._manifest(), max(self._numbers(), default=0) + 1
+        closed = str(date.fromisoformat(watermark) - timedelta(days=self.cutoff_days))
+        now["closed"] = max(closed, now["closed"] or closed)
+        held = {k: [p for p in v if p >= now["closed"]] for k, v in now["slots"].items()}
+        now["slots"] = {k: v for k, v in held.items() if v}
+        self._name(n, now)
+
+    def _name(self, n: int, manifest: dict) -> None:
+        create_file(self.spark, f"{self.path}/_manifest-{n}", json.dumps(manifest))
+        keep = [self._manifest(k) for k in self._numbers()[-2:]]
+        for name in child_names(self.spark, self.path):
+            kind, number = name.split("-")
+            if (kind == "_manifest" and int(number) < n - 1) or (kind in ("slots", "counters") and all(number not in m[kind] for m in keep)):
+                delete_path(self.spark, f"{self.path}/{name}")
+
+
+def arrivals(messages: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """msg_id -> version: the rank of the earliest readable reception, else of the smallest ingest date.
+
+    ``links``: payload_id -> link_id over all messages, where ``messages`` are only a batch of them."""
+    rows = deliveries(messages).select(
+        "msg_id", "payload_id", F.coalesce(version_of(utc_day(F.col("moment")), F.lit(True)), version_of(F.col("ingest_date").try_cast("date"), F.lit(False))).alias("version")
+    )
     nameless = (
         rows.where(F.col("msg_id").isNull() & F.col("payload_id").isNotNull())
         .groupBy("payload_id")
-        .agg(*best())
-        .join(payload_links(rows), "payload_id")
-        .select(F.col("link_id").alias("msg_id"), "moment", "ingest_date")
-    )
-    return (
-        named.unionByName(nameless)
-        .groupBy("msg_id")
-        .agg(*best())
-        .select("msg_id", F.coalesce(utc_day(F.col("moment")), F.col("ingest_date").try_cast("date")).alias("arrived"))
+        .agg(F.max("version").alias("version"))
+        .join(payload_links(deliveries(messages)) if links is None else links, "payload_id")
+        .select(F.col("link_id").alias("msg_id"), "version")
     )
+    return rows.where(F.col("msg_id").isNotNull()).select("msg_id", "version").unionByName(nameless).groupBy("msg_id").agg(F.max("version").alias("version"))
 
 
-def case_slots(cases: DataFrame, messages: DataFrame) -> DataFrame:
-    """A state with one slot per case message that has a report date: period = report date, source =
-    facility, sequence = message control id, version = arrival day.
+def known_cases(cases: DataFrame) -> DataFrame:
+    """msg_id and the slot (period = report date, source = facility, sequence = message control id) of each case with a report date.
 
-    Defined results: cases loaded twice fall into one slot; a case none of whose deliveries is known
-    has a NULL version; NULL facilities form one source; an empty table gives an empty state.
+    Defined results: cases loaded twice are one; NULL facilities form one source; an empty table gives none.
     """
-    slots = (
+    return (
         cases.where(F.col("report_date").isNotNull() & F.col("message_control_id").isNotNull())
         .groupBy(
             identifier_bytes(plain_identifier(F.col("message_id"))).alias("msg_id"),
@@ -89,9 +205,23 @@ def case_slots(cases: DataFrame, messages: DataFrame) -> DataFrame:
         )
         .agg(F.min("facility_id").alias("source"))
     )
-    return merge_slots(
-        slots.join(arrivals(messages), "msg_id", "left").select(*SLOT, F.col("arrived").alias("version"))
-    )
+
+
+def case_slots(cases: DataFrame, messages: DataFrame) -> DataFrame:
+    """A state with one slot per known case; one none of whose deliveries is known has a NULL version."""
+    return merge_slots(known_cases(cases).join(arrivals(messages), "msg_id", "left").select(*SLOT, "version"))
+
+
+def merged_batches(cases: DataFrame, messages: DataFrame, store: CounterStore | None = None, batches: int = 2) -> CounterStore:
+    """The state after the cases were made known and the messages were merged in batches, as they came in."""
+    spark = cases.sparkSession
+    store = store or CounterStore(spark)
+    known = stored(known_cases(cases), "known-cases")
+    links = stored(payload_links(deliveries(messages)), "payload-links")
+    store.merge(known.select(*SLOT, F.lit(None).cast("bigint").alias("version")))
+    for batch in in_batches(messages, batches):
+        store.merge(known.join(arrivals(batch, links), "msg_id").select(*SLOT, "version"))
+    return store
 
 
 def late_cases(state: DataFrame, cutoff_days: int = 10) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators import dedupe, incremental, late, rejects, trailing
+from caseloom.session import work_path
 from caseloom.sources.tables import table
 
 
@@ -29,13 +30,16 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return dedupe.removed_rows(table(spark, d, "ecr_messages"))
 
 
+def _counters(spark: SparkSession, d: str) -> late.CounterStore:
+    return late.merged_batches(table(spark, d, "ecr_cases"), table(spark, d, "ecr_messages"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return late.late_cases(late.case_slots(table(spark, d, "ecr_cases"), table(spark, d, "ecr_messages")))
+    return late.late_cases(_counters(spark, d).slots())
 
 
 def p4_daily_counts(spark: SparkSession, d: str) -> DataFrame:
-    state = late.case_slots(table(spark, d, "ecr_cases"), table(spark, d, "ecr_messages"))
-    return late.period_counts(state).select(
+    return _counters(spark, d).counts().select(
         F.col("period").cast("string").alias("report_date"), "on_time", "corrections", "corrected_count", "too_late", "sources"
     )
 
@@ -52,9 +56,11 @@ def p5_trailing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return incremental.pending_rows(
-        table(spark, d, "ecr_messages"), table(spark, d, "ingest_log"), table(spark, d, "ingest_runs")
-    ).select("row_id")
+    """One whole load: planned, taken by the plan, sunk and committed; its rows are those of the sink."""
+    load, sink = incremental.IncrementalLoad(spark), work_path(spark, "sink")
+    messages = table(spark, d, "ecr_messages").select("row_id", "source_file", "_ingest_ts")
+    load.run(messages, table(spark, d, "ingest_log"), table(spark, d, "ingest_runs"), sink)
+    return load.sunk(sink).select("row_id")
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_loaded, p3_found, p4_found, p4_daily_counts, p5_found, p5_trailing, p6_found)}

@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 import uuid
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.session import path_exists
+from caseloom.operators.incremental import IncrementalLoad
+from caseloom.session import create_file, delete_path, path_exists, read_file
 
 #: Fixed values.
 LAYERS = ("landing", "bronze", "silver", "quarantine", "gold", "feature", "ml")
@@ -63,22 +63,32 @@ def with_lineage(raw: DataFrame, batch_id: str) -> DataFrame:
     return raw.withColumns({"_payload_sha256": F.sha2("payload_hl7", 256), "_batch_id": F.lit(batch_id), "_ingest_ts": F.current_timestamp()}).select(*BRONZE_COLUMNS)
 
 
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """source_file of every file that has landed, from a listing: no file is opened."""
+    return spark.read.format("binaryFile").load(f"{path}/ingest_date=*/*").select(F.col("_metadata.file_path").alias("source_file"))
+
+
 def land_to_bronze(spark: SparkSession, lake: Lake, landing: str | None = None, batch_id: str | None = None) -> dict:
     """Appends the messages of new files, then logs the files; a second run adds nothing.
 
-    The two writes are not one transaction: a crash between them repeats the files of that run under
-    the same identifiers and hashes, which silver collapses. The streaming ingest has no such gap.
+    The files of a run are written down first. A run that failed is taken up again under its own batch
+    name with its own files: bronze is partitioned by ingest date and batch, so its partitions are replaced
+    and no message is there twice; the log has one part for each run, replaced likewise.
     """
-    batch_id = batch_id or str(uuid.uuid4())
-    log = lake.read_or_empty(spark, "bronze", "_ingest_log", LOG_SCHEMA)
-    fresh = with_lineage(not_ingested(read_landing(spark, landing or lake.uri("landing", "ecr")), log), batch_id)
-    lake.write(fresh, "bronze", "ecr_messages", "append", ["ingest_date"])
-    mine = lake.read(spark, "bronze", "ecr_messages").where(F.col("_batch_id") == batch_id)
-    files = mine.groupBy("source_file", "_batch_id").agg(F.max("_ingest_ts").alias("_ingest_ts"), F.count("*").alias("n"))
-    stats = files.agg(F.count("*").alias("files"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
-    if stats.files:
-        lake.write(files.drop("n"), "bronze", "_ingest_log", "append")
-    return {"rows": stats.rows, "files": stats.files, "batch_id": batch_id}
+    where = landing or lake.uri("landing", "ecr")
+    load = IncrementalLoad(spark, lake.uri("bronze", "_loads"))
+    logged = lake.read_or_empty(spark, "bronze", "_ingest_log", LOG_SCHEMA)
+    plan, batch_id = load.prepared(lambda: not_ingested(landed_files(spark, where), logged), batch_id or str(uuid.uuid4()))
+    fresh = with_lineage(read_landing(spark, where).join(plan, "source_file", "left_semi"), batch_id)
+    replace = lambda df, name, *by: df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(lake.table_format).partitionBy(*by).save(lake.uri("bronze", name))
+    if plan.isEmpty():
+        load.finish()
+        return {"rows": 0, "files": 0, "batch_id": batch_id}
+    replace(fresh, "ecr_messages", "ingest_date", "_batch_id")
+    rows = lake.read(spark, "bronze", "ecr_messages").where(F.col("_batch_id") == batch_id).count()
+    replace(plan.select("source_file", F.lit(batch_id).alias("_batch_id"), F.current_timestamp().alias("_ingest_ts")), "_ingest_log", "_batch_id")
+    load.finish()
+    return {"rows": rows, "files": plan.count(), "batch_id": batch_id}
 
 
 def read_json_document(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -108,8 +118,11 @@ def write_single_file(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def write_sidecar(content: dict, path: str) -> None:
-    """A small JSON file beside a table: contracts, reports."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    p.write_text(json.dumps(content, indent=2, default=str))
+def write_sidecar(spark: SparkSession, content: dict, path: str) -> None:
+    """A small JSON file beside a table, on any file system Spark knows: contracts, reports."""
+    delete_path(spark, path)
+    create_file(spark, path, json.dumps(content, indent=2, default=str))
+
+
+def read_sidecar(spark: SparkSession, path: str) -> dict:
+    return json.loads(read_file(spark, path))

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.operators.late import merge_slots
-from caseloom.session import path_exists, work_path
+from caseloom.operators.late import CounterStore
+from caseloom.session import work_path
 
 
 def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
@@ -21,13 +21,15 @@ def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 1_000)
     return reader.option("pathGlobFilter", where.getName()).parquet(str(where.getParent().toString()))
 
 
-def ingest_to_bronze(spark: SparkSession, path: str, target: str | None = None, checkpoint: str | None = None, runs: int = 2) -> DataFrame:
-    """Appends messages to a table partitioned by ingest date, exactly once per file. ``runs`` starts are made."""
+def ingest_to_bronze(spark: SparkSession, path: str, target: str | None = None, checkpoint: str | None = None, runs: int = 1, files_per_day: int = 2) -> DataFrame:
+    """Appends messages to a table partitioned by ingest date, exactly once per file. ``runs`` starts are made; each goes on where the last ended."""
     base = work_path(spark, "stream-ingest")
     target, checkpoint = target or f"{base}/bronze", checkpoint or f"{base}/checkpoint"
     for _ in range(runs):
+        # A day is written by a few tasks, not by each that read some of it: few files, and a busy day is still split.
         (
             file_stream(spark, path)
+            .repartition(F.col("ingest_date"), F.pmod(F.xxhash64("message_id"), F.lit(files_per_day)))
             .writeStream.format("parquet")
             .partitionBy("ingest_date")
             .option("path", target)
@@ -39,22 +41,28 @@ def ingest_to_bronze(spark: SparkSession, path: str, target: str | None = None,
     return spark.read.parquet(target)
 
 
-def daily_counts(spark: SparkSession, path: str, time: str, keys: list[str]) -> DataFrame:
-    """day, keys, n by event time. Complete mode: late rows correct their day, however late."""
-    base = work_path(spark, "stream-daily")
+def daily_counts(spark: SparkSession, path: str, time: str, keys: list[str], lateness: str = "400 days", base: str | None = None) -> DataFrame:
+    """day, keys, n by event time. A late row corrects its day; days beyond the watermark leave the stream's state.
+
+    A batch writes the days it changed as its own part (a repeated batch replaces it); of a day's counts the
+    latest holds. ``base``: where counts and checkpoint are kept, to continue with the files that came since.
+    """
+    base = base or work_path(spark, "stream-daily")
     counts = (
         file_stream(spark, path)
         .withColumn("_t", F.col(time).cast("timestamp"))
+        .withWatermark("_t", lateness)
         .groupBy(F.window("_t", "1 day").alias("w"), *keys)
         .agg(F.count("*").alias("n"))
         .select(F.col("w.start").cast("date").alias("day"), *keys, "n")
     )
 
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/counts")
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/counts/batch={number}")
 
-    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/counts")
+    counts.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    parts = spark.read.option("basePath", f"{base}/counts").parquet(f"{base}/counts")
+    return parts.groupBy("day", *keys).agg(F.max_by("n", "batch").alias("n"))
 
 
 def first_of_each(spark: SparkSession, path: str, key: str, time: str, lateness: str = "400 days") -> DataFrame:
@@ -66,13 +74,11 @@ def first_of_each(spark: SparkSession, path: str, key: str, time: str, lateness:
     return spark.read.parquet(f"{base}/rows")
 
 
-def merge_state(spark: SparkSession, delta: DataFrame, path: str) -> DataFrame:
-    """Merges a batch of counter slots into stored state; the same batch again changes nothing.
-
-    The new state is written beside the old one and named by a pointer file last, so a crash leaves the old one."""
-    pointer = f"{path}/current"
-    states = [spark.read.parquet(spark.read.text(pointer).first()[0]), delta] if path_exists(spark, pointer) else [delta]
-    fresh = work_path(spark, "state")
-    merge_slots(*states).write.parquet(fresh)
-    spark.createDataFrame([(fresh,)], "p string").coalesce(1).write.mode("overwrite").text(pointer)
-    return spark.read.parquet(fresh)
+def merge_state(spark: SparkSession, delta: DataFrame, path: str, watermark: str | None = None) -> DataFrame:
+    """Merges a batch of counter slots into the state below ``path`` (its own folder, not the work folder), closes
+    the periods beyond the cut-off if a watermark is given, and gives the counts of all periods."""
+    store = CounterStore(spark, path)
+    store.merge(delta)
+    if watermark:
+        store.evict(watermark)
+    return store.counts()

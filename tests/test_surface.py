@@ -42,7 +42,9 @@ def test_sinks_and_sources(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/many/p=1")
     df.drop("y").write.parquet(f"{tmp_path}/many/p=2")
     assert landing.read_merged(spark, f"{tmp_path}/many").count() == 2
-    landing.write_sidecar({"a": 1}, f"{tmp_path}/side/c.json")
+    landing.write_sidecar(spark, {"a": 0}, f"{tmp_path}/side/c.json")
+    landing.write_sidecar(spark, {"a": 1}, f"{tmp_path}/side/c.json")
+    assert landing.read_sidecar(spark, f"{tmp_path}/side/c.json") == {"a": 1}
     assert json.loads((tmp_path / "side/c.json").read_text()) == {"a": 1} and landing.read_json_document(spark, f"{tmp_path}/side/c.json").first().a == 1
     (tmp_path / "lines.jsonl").write_text('{"a": 1}\n\n{"a": 2}\n')
     assert landing.read_json_lines(spark, f"{tmp_path}/lines.jsonl").count() == 2
