@@ -40,10 +40,11 @@ def identifier_bytes(plain: Column) -> Column:
     return F.when(plain.rlike(r"\A(?:[0-9a-f]{2}){8,}\z"), F.unhex(plain)).otherwise(plain.cast("binary"))
 
 
-def deliveries(df: DataFrame) -> DataFrame:
-    """row_id, msg_id, payload_id, moment (µs, NULL if unreadable), ingest_date of each delivery."""
+def deliveries(df: DataFrame, *keep: str) -> DataFrame:
+    """row_id, msg_id, payload_id, moment (µs, NULL if unreadable), ingest_date and ``keep`` of each delivery."""
     return df.select(
         "row_id",
+        *keep,
         identifier_bytes(plain_identifier(F.col("message_id"))).alias("msg_id"),
         payload_hash(F.col("payload_hl7"), F.col("_payload_sha256")).alias("payload_id"),
         moment_micros(F.col("received_at")).alias("moment"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,10 +90,10 @@ def period_counts(slots: DataFrame, cutoff_days: int = 10) -> DataFrame:
 class CounterStore:
     """Counters below a path: what is merged in stays, also for another session; one writer at a time.
 
-    A merge reads and writes only the periods its batch touches. It writes the new slots and counters beside
-    the old ones and then one manifest, named by its number, that says for each period which of them holds;
-    the greatest number counts, so a failure at any point leaves the state before. Files that no manifest
-    needs any more are deleted one merge later.
+    A merge reads and writes only the slots of the periods its batch touches. It writes new slots and the merged
+    counters (one row a period and source) beside the old ones and then one manifest, named by its number, that
+    says for each period which slots hold; the greatest number counts, so a failure at any point leaves the
+    state before. Files that no manifest needs any more are deleted one merge later.
     """
 
     SLOTS = "period date, source string, sequence string, version bigint"
@@ -106,26 +107,31 @@ class CounterStore:
         return sorted(int(n.split("-")[1]) for n in child_names(self.spark, self.path) if n.startswith("_manifest-"))
 
     def _manifest(self, n: int | None = None) -> dict:
-        """slots, counters: number -> periods whose newest figures are there; closed: periods before it take no more."""
+        """slots: number -> periods whose newest slots are there; counters: the number of the newest; closed: periods
+        before it take no more."""
         numbers = self._numbers()
         if not numbers:
-            return {"slots": {}, "counters": {}, "closed": None}
+            return {"slots": {}, "counters": None, "closed": None}
         return json.loads(read_file(self.spark, f"{self.path}/_manifest-{numbers[-1] if n is None else n}"))
 
-    def _read(self, kind: str, manifest: dict, periods: set[str] | None = None) -> DataFrame:
-        out = self.spark.createDataFrame([], self.SLOTS if kind == "slots" else self.COUNTERS)
-        for n, held in manifest[kind].items():
-            wanted = sorted(set(held) & periods if periods is not None else set(held))
+    def _slots(self, manifest: dict, periods: set[str] | None = None) -> list[DataFrame]:
+        out = []
+        for n, held in manifest["slots"].items():
+            wanted = sorted(set(held) & periods if periods is not None else held)
             if wanted:
-                days = [F.lit(d).cast("date") for d in wanted]
-                out = out.unionByName(self.spark.read.parquet(f"{self.path}/{kind}-{n}").where(F.col("period").isin(*days)))
+                out.append(self.spark.read.parquet(f"{self.path}/slots-{n}").where(F.col("period").isin(*[F.lit(d).cast("date") for d in wanted])))
         return out
 
+    def _counters(self, manifest: dict) -> list[DataFrame]:
+        return [self.spark.read.parquet(f"{self.path}/counters-{manifest['counters']}")] if manifest["counters"] else []
+
     def slots(self) -> DataFrame:
-        return self._read("slots", self._manifest())
+        parts = self._slots(self._manifest())
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], self.SLOTS)
 
     def counters(self) -> DataFrame:
-        return self._read("counters", self._manifest())
+        parts = self._counters(self._manifest())
+        return parts[0] if parts else self.spark.createDataFrame([], self.COUNTERS)
 
     def counts(self) -> DataFrame:
         """:func:`sum_sources` of the counters, the closed periods' among them."""
@@ -139,7 +145,7 @@ class CounterStore:
     def merge(self, delta: DataFrame) -> None:
         """Merges a batch of slots into the state; the same batch again changes nothing."""
         now, n = self._manifest(), max(self._numbers(), default=0) + 1
-        delta = stored(merge_slots(delta.select(*SLOT, "version").where("period is not null")), "delta")
+        delta = stored(delta.select(*SLOT, "version").where("period is not null"), "delta")
         if now["closed"]:
             late = F.col("period") < F.lit(now["closed"]).cast("date")
             delta.where(late).write.mode("overwrite").parquet(f"{self.path}/apart-{n}")
@@ -147,12 +153,11 @@ class CounterStore:
         # As many as the calendar has days.
         touched = {str(r.period) for r in delta.select("period").distinct().collect()}
         # Sorted by period within a file, so that a later merge reads only the row groups of its periods.
-        merge_slots(self._read("slots", now, touched), delta).sortWithinPartitions("period").write.mode("overwrite").parquet(f"{self.path}/slots-{n}")
+        merge_slots(delta, *self._slots(now, touched)).sortWithinPartitions("period").write.mode("overwrite").parquet(f"{self.path}/slots-{n}")
         fresh = source_counters(self.spark.read.parquet(f"{self.path}/slots-{n}"), n, self.cutoff_days)
-        merge_counters(self._read("counters", now, touched), fresh).write.mode("overwrite").parquet(f"{self.path}/counters-{n}")
-        for kind in ("slots", "counters"):
-            held = {k: sorted(set(v) - touched) for k, v in now[kind].items()} | {str(n): sorted(touched)}
-            now[kind] = {k: v for k, v in held.items() if v}
+        merge_counters(fresh, *self._counters(now)).write.mode("overwrite").parquet(f"{self.path}/counters-{n}")
+        held = {k: sorted(set(v) - touched) for k, v in now["slots"].items()} | {str(n): sorted(touched)}
+        now["slots"], now["counters"] = {k: v for k, v in held.items() if v}, n
         self._name(n, now)
 
     def evict(self, watermark: str) -> None:
@@ -170,22 +175,26 @@ class CounterStore:
         keep = [self._manifest(k) for k in self._numbers()[-2:]]
         for name in child_names(self.spark, self.path):
             kind, number = name.split("-")
-            if (kind == "_manifest" and int(number) < n - 1) or (kind in ("slots", "counters") and all(number not in m[kind] for m in keep)):
+            unused = kind == "slots" and all(number not in m["slots"] for m in keep) or kind == "counters" and all(int(number) != m["counters"] for m in keep)
+            if unused or (kind == "_manifest" and int(number) < n - 1):
                 delete_path(self.spark, f"{self.path}/{name}")
 
 
-def arrivals(messages: DataFrame, links: DataFrame | None = None) -> DataFrame:
-    """msg_id -> version: the rank of the earliest readable reception, else of the smallest ingest date.
+def ranked(messages: DataFrame, *keep: str) -> DataFrame:
+    """msg_id, payload_id, ``keep`` and the version of each delivery: its readable reception, else its ingest date."""
+    read, filed = version_of(utc_day(F.col("moment")), F.lit(True)), version_of(F.col("ingest_date").try_cast("date"), F.lit(False))
+    return deliveries(messages, *keep).select("msg_id", "payload_id", *keep, F.coalesce(read, filed).alias("version"))
 
-    ``links``: payload_id -> link_id over all messages, where ``messages`` are only a batch of them."""
-    rows = deliveries(messages).select(
-        "msg_id", "payload_id", F.coalesce(version_of(utc_day(F.col("moment")), F.lit(True)), version_of(F.col("ingest_date").try_cast("date"), F.lit(False))).alias("version")
-    )
+
+def arrivals(rows: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """msg_id -> version of :func:`ranked` deliveries: the earliest readable reception, else the smallest ingest date.
+
+    ``links``: payload_id -> link_id over all deliveries, where ``rows`` are only a batch of them."""
     nameless = (
         rows.where(F.col("msg_id").isNull() & F.col("payload_id").isNotNull())
         .groupBy("payload_id")
         .agg(F.max("version").alias("version"))
-        .join(payload_links(deliveries(messages)) if links is None else links, "payload_id")
+        .join(payload_links(rows) if links is None else links, "payload_id")
         .select(F.col("link_id").alias("msg_id"), "version")
     )
     return rows.where(F.col("msg_id").isNotNull()).select("msg_id", "version").unionByName(nameless).groupBy("msg_id").agg(F.max("version").alias("version"))
@@ -209,18 +218,19 @@ def known_cases(cases: DataFrame) -> DataFrame:
 
 def case_slots(cases: DataFrame, messages: DataFrame) -> DataFrame:
     """A state with one slot per known case; one none of whose deliveries is known has a NULL version."""
-    return merge_slots(known_cases(cases).join(arrivals(messages), "msg_id", "left").select(*SLOT, "version"))
+    return merge_slots(known_cases(cases).join(arrivals(ranked(messages)), "msg_id", "left").select(*SLOT, "version"))
 
 
 def merged_batches(cases: DataFrame, messages: DataFrame, store: CounterStore | None = None, batches: int = 2) -> CounterStore:
-    """The state after the cases were made known and the messages were merged in batches, as they came in."""
+    """The state after the messages were merged in batches, as they came in. The first batch makes all cases
+    known, also those none of whose deliveries is. Messages are read once and kept as a few narrow columns."""
     spark = cases.sparkSession
     store = store or CounterStore(spark)
     known = stored(known_cases(cases), "known-cases")
-    links = stored(payload_links(deliveries(messages)), "payload-links")
-    store.merge(known.select(*SLOT, F.lit(None).cast("bigint").alias("version")))
-    for batch in in_batches(messages, batches):
-        store.merge(known.join(arrivals(batch, links), "msg_id").select(*SLOT, "version"))
+    rows = stored(ranked(messages, "_ingest_ts"), "ranked")
+    links = stored(payload_links(rows), "payload-links")
+    for n, batch in enumerate(in_batches(rows, batches)):
+        store.merge(known.join(arrivals(batch, links), "msg_id", "inner" if n else "left").select(*SLOT, "version"))
     return store
 
 
