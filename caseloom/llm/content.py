@@ -1,13 +1,13 @@
 """Problem 9: abusive, hateful and sexual content, by compression distance.
 
-Separate zstandard dictionaries hold ordinary text and the text of each category. A window of a
-document costs so many bytes under each; what a category's dictionary saves against the ordinary one,
-per character, is the window's score, and a document's score is that of its best window. Thresholds
-are calibrated on reviewed documents that the dictionaries did not see (cross-fitting).
+Separate zstandard dictionaries are trained on ordinary text and on the text of each category. A window of
+a document costs so many bytes under each; what a category's dictionary saves against the ordinary one, per
+character, is the window's score, and a document's score is that of its best window. Thresholds are
+calibrated on reviewed documents that the dictionaries did not see (cross-fitting).
 
 Reviews name documents, not sentences. The windows to learn from are those of flagged documents that
 ordinary text compresses badly and that hold a word rare in ordinary documents; each goes to the category
-that the labels of other documents with the same words speak for.
+that the labels of other documents with the same words speak for. No sentence of any category is built in.
 """
 
 from __future__ import annotations
@@ -17,9 +17,8 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -30,53 +29,8 @@ from caseloom.session import stored
 
 CATEGORIES = ("abusive", "hateful", "sexual")
 
-#: A start for each category, so that few reviews suffice; a parameter of the operator.
-SEEDS = {
-    "abusive": """you are a stupid idiot. you useless moron. shut up, you bitch. you worthless piece of shit. fuck off, you bastard.
-i will kill you. i will find you and hurt you. i will break your legs. i know where you live, watch out. you should die. go kill yourself, kys.
-drop dead, you pig. what an asshole. you dumbass. you scumbag, you arsehole. stfu u halfwit. nobody would miss you. crawl away and die, loser.
-you pathetic loser. you rotten cretin. you lazy imbecile. you brainless clown. you disgusting slimeball. you lying jackass. you gutless shithead. stupid bitch at the desk.
-the doctor is a complete moron and should be slapped. your clerk is a useless idiot. what kind of idiot does that. shut your mouth, nobody asked you. crawl back under your rock.
-i know where you park. i will break every bone in your body. we know your address, sleep well. i will bring a knife. you will regret this, watch your kids. hope you choke on it. go hang yourself.
-caller shouted that the receptionist was a stupid cow. patient screamed and called her a bitch and spat on the desk. get lost, you worthless dipshit. go to hell, you dumb pig.
-he called the nurse a lying cow. she was told to eat dirt and die. he threatened to punch the doctor. somebody ought to slap her.
-eres un idiota. hijo de puta, te voy a matar. callate, imbecil. eres una mierda. ojala te mueras. dijo que le iba a pegar.
-espece de connard, va te faire foutre. ta gueule, salope. je vais te tuer. vous etes des cretins. il l'a menace de la frapper.
-du arschloch, halt die klappe. du dumme kuh. ich bringe dich um. verpiss dich, du idiot. er drohte, sie zu schlagen.""",
-    "hateful": """immigrants are vermin. send them all back. muslims are rats and bring disease. jews are a plague. gays are born dirty.
-black people are animals, not human. refugees breed like cockroaches. those people should be wiped out. gypsies are thieves and liars.
-everyone knows what those people are like, dirty and lazy by nature. women doctors are scum and should be banned from nursing. i will not be touched by one of them.
-it is always the immigrants who spread disease. they bring every disease in. keep gays away from our children. no jews, no dogs. refugees out. clean clinics for clean people.
-god sends this to punish gays. we would have no disease here without foreigners. travellers are animals, every one of them. let the disabled die, it would be a blessing.
-he said muslims are garbage and ought to be locked away. no vaccine for people like that, they are not worth it. children of immigrants are born stupid. they are parasites.
-no treatment for foreigners. women are too stupid to be doctors. disabled people should be left to die. they do not deserve care, they are filth.
-keep that kind out of our country. trans people should be locked away. old people are a waste of space and should be let die.
-los inmigrantes son ratas. los moros son basura, que los echen. los gitanos son ladrones. no son personas.
-les immigres sont des parasites. qu'on renvoie les arabes, ce sont des voleurs. les juifs sont une peste.
-auslander raus. fluchtlinge sind ungeziefer. die juden sind schuld. zigeuner sind diebe und dreck.""",
-    "sexual": """send nudes. send me naked pictures of you. i want you naked in my bed. i want to fuck you. you make me so horny.
-what are you wearing under that, baby. suck my cock. look at my dick pic. i am touching myself. hot sexy girls, free porn videos, xxx cams.
-wanna fuck after your shift. nice tits, baby. nice ass. i would ride you all night. i want you sexy in my bed. so hot since the visit, thinking of your breasts. wear nothing when you come over.
-caller breathed heavily and described his cock. the caller moaned and said he was naked. wrote a fantasy about undressing the nurse on the exam table. left a drawing of a penis with an invitation.
-visit my page for naked girls. looking for adult fun tonight. offered sex for a faster result. rate my dick. licking her all night. do you like it dirty, darling.
-he described how he wanted to touch her breasts. he exposed himself and masturbated on the call. he asked her to talk dirty. sex chat, escort in a hotel room.
-thinking of your hands on my body. bent over the desk. she likes it rough. what colour are your panties.
-mandame fotos desnuda. quiero follarte. estoy muy caliente. te quiero en mi cama. describio sus pechos.
-envoie-moi des photos de toi nue. je suis excite. j'ai envie de te baiser. il a decrit ses seins.
-schick mir nacktbilder. ich bin so geil. ich will dich ficken. er beschrieb, wie er sie ausziehen will.""",
-}
-
-#: Innocent look-alikes: clinical wording, figures of speech, self-reproach, swearing at nobody, groups as mere facts.
-LOOK_ALIKES = """genital exam normal, no lesions. breast exam deferred. rectal swab refused. penile discharge for two days. vaginal swab taken. sexual history without risk.
-asked to undress for the exam, chaperone present. found naked and confused. patient is breastfeeding. asked about partners and contraception.
-i felt so stupid for missing the appointment. felt like an idiot for losing the form. what a stupid form, it lost my data. so fucking tired of this cough. this damn fever again.
-i could kill for a good night's sleep. the heat is killing me. the new machine is idiot-proof. bring this baby home. the dog bit the nurse. the pig farm supplied the meat. a clown handed out food.
-parasites were seen in the sample. rats were seen in the kitchen. cockroaches found on inspection. the germs die outside the body. chlorine kills germs. mother was shot in the arm with the vaccine.
-some of the cases were muslims. no difference was found for refugees. outreach to travellers was well attended. leaflets for immigrants will be ready. a clinic for gay men offers tests. support for disabled people and women.
-odia las agujas. historia sexual sin riesgo. deteste les piqures. examen genital normal. hasst spritzen, war aber einverstanden."""
-
-#: Labelled documents read for fitting, in the order of a hash of doc_id. Scoring reads everything.
-MAX_REVIEWED = 20_000
+#: Labelled documents read for fitting, in the order of a hash of doc_id, and the characters of their texts. Scoring reads everything.
+MAX_REVIEWED, MAX_REVIEWED_CHARS = 20_000, 64_000_000
 
 _TAG = re.compile(r"<[^<>]{1,200}>|&#?\w{2,8};")
 _HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
@@ -85,33 +39,45 @@ _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 _SPELT = re.compile(r"(?<![^\W_])[^\W\d_](?:([ ._\-*])[^\W\d_])(?:\1[^\W\d_])+(?![^\W_])")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|[\r\n]+")
 _MOJIBAKE = re.compile("[ÃÂâ][\u0080-¿‘-™]|Ã.")
-_OVERHEAD, _SHORTEST, _WORDS, _STEP = 4, 16, 12, 6
+_CODED = re.compile(r"[0-9@$!]")
+_OVERHEAD, _SHORTEST, _WORDS, _STEP, _LEVEL, _TYPICAL = 4, 16, 12, 6, 16, 128
+
+
+def _least_cost(window: str) -> int:
+    """No frame of a window is shorter, overhead taken off: descriptors and block header (5 bytes) with the text as it is, with
+    one repeated character, or with the heads and the least content of a block's two sections (4 bytes)."""
+    return min(5, 1 + len(window)) if len(set(window)) > 1 else 2
 
 
 def clean(text: str) -> str:
     """One spelling: mark-up, invisible and look-alike characters, accents, spelt-out and stretched words, digits in words."""
-    if _MOJIBAKE.search(text):
-        try:
-            text = text.encode("cp1252").decode("utf-8")
-        except UnicodeError:
-            pass
-    t = _HIDDEN.sub("", unicodedata.normalize("NFKC", _TAG.sub(" ", text))).lower().translate(_ALIKE).replace("’", "'")
-    t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
+    t = _TAG.sub(" ", text) if "<" in text or "&" in text else text
+    if t.isascii():
+        t = t.lower()
+    else:
+        if _MOJIBAKE.search(t):
+            try:
+                t = t.encode("cp1252").decode("utf-8")
+            except UnicodeError:
+                pass
+        t = _HIDDEN.sub("", unicodedata.normalize("NFKC", t)).lower().translate(_ALIKE).replace("’", "'")
+        t = "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c))
     t = _SPELT.sub(lambda m: re.sub(r"[ ._\-*]", "", m[0]), t)
     t = re.sub(r"([a-z])\1{2,}", r"\1", t)
-    t = re.sub(r"!+1*(?=\s|$)", "!", t)
-    words = []
-    for w in t.split():
-        if re.search(r"[a-z]", w) and re.search(r"[0-9@$!]", w[:-1]):
-            w = w[:-1].translate(_LEET) + w[-1]
-        words.append(re.sub(r"\d+", "0", w))
+    words = re.sub(r"!+1*(?=\s|$)", "!", t).split()
+    if _CODED.search(t):
+        for n, w in enumerate(words):
+            if _CODED.search(w):
+                if _CODED.search(w[:-1]) and re.search(r"[a-z]", w):
+                    w = w[:-1].translate(_LEET) + w[-1]
+                words[n] = re.sub(r"\d+", "0", w)
     return " ".join(words)
 
 
 def _sentence_windows(sentence: str) -> tuple[str, ...]:
     words = clean(sentence).strip(" >*-\"'()[]").split()
     if len(words) <= _WORDS + 2:
-        return (" ".join(words),)
+        return (" ".join(words),) if words else ()
     return tuple(" ".join(words[k : k + _WORDS]) for k in range(0, max(1, len(words) - _STEP), _STEP))
 
 
@@ -123,20 +89,47 @@ def windows(text: str | None) -> list[str]:
     out: dict[str, None] = {}
     for sentence in _SENTENCE.split(text or ""):
         out.update(dict.fromkeys(_seen_sentence(sentence) if len(sentence) < 300 else _sentence_windows(sentence)))
-    return [w for w in out if len(w) >= 4]
+    return list(out)
+
+
+def _trainer(content: bytes, most: int = 1 << 16) -> bytes:
+    """What zstandard's training gives for the texts of a content: magic, id, entropy tables and the segments it chose."""
+    texts = [t for t in content.split(b"\n") if t]
+    # Training wants several times as many samples as the dictionary has bytes; repeated ones change no proportion.
+    repeats = max(4, -(-40_000 // max(len(content), 1)))
+    return zstandard.train_dictionary(max(2048, min(len(content), most)), texts * repeats, k=256, d=8).as_bytes()
+
+
+#: The repeat offsets every trained dictionary has between its tables and its content.
+_REPEATS = b"\x01\0\0\0\x04\0\0\0\x08\0\0\0"
+
+
+def trained(content: bytes) -> zstandard.ZstdCompressionDict:
+    """A dictionary trained on a content's lines, completed with the whole content.
+
+    Training keeps only the segments most lines share, so the rare sentences that matter here are lost (figures in
+    the README); its entropy tables are kept, and the content in place of the segments, as zstandard's own
+    finishing of dictionaries does. What zstandard cannot train on (a line or two) is used as it is.
+    """
+    try:
+        made = _trainer(content)
+    except zstandard.ZstdError:
+        return zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    head = made.index(_REPEATS) + len(_REPEATS)
+    # The repeat offsets reach eight bytes back, which have to be there.
+    return zstandard.ZstdCompressionDict(made[:head] + content.rjust(8, b"\n"), dict_type=zstandard.DICT_TYPE_FULLDICT)
 
 
 class _Cost:
-    """Bytes of a window under the best of some dictionaries of raw text, frame overhead taken off."""
+    """Bytes of a window under the best of some dictionaries, frame overhead taken off. ``contents``: their lines."""
 
     def __init__(self, contents: list[bytes]):
-        self._compress = [self._compressor(c) for c in contents]
+        self._compress = [self._compressor(trained(c)) for c in contents]
 
     @staticmethod
-    def _compressor(content: bytes):
-        dictionary = zstandard.ZstdCompressionDict(content or b" " * 8, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def _compressor(dictionary: zstandard.ZstdCompressionDict):
         how = zstandard.ZstdCompressionParameters.from_level(
-            19, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
+            _LEVEL, source_size=_TYPICAL, dict_size=len(dictionary.as_bytes()), write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
         )
         return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress
 
@@ -150,7 +143,7 @@ def _size(window: str) -> int:
 
 
 def _content(texts: Iterable[str], most: int = 1 << 20) -> list[bytes]:
-    """All texts as dictionaries of at most ``most`` bytes, the first texts of each last, where matches are cheapest."""
+    """All texts as contents of at most ``most`` bytes, the first texts of each last, where matches are cheapest."""
     parts, total = [[]], 0
     for t in texts:
         b = t.encode()
@@ -163,7 +156,7 @@ def _content(texts: Iterable[str], most: int = 1 << 20) -> list[bytes]:
 
 
 class ContentModel:
-    """Dictionaries and thresholds. Pickles as bytes; compressors are made where it is used."""
+    """Contents of the dictionaries, and thresholds. Pickles as bytes; dictionaries are trained where it is used, alike everywhere."""
 
     def __init__(self, ordinary: list[bytes], categories: dict[str, list[bytes]], thresholds: dict[str, float]):
         self.ordinary, self.categories, self.thresholds = ordinary, categories, thresholds
@@ -173,16 +166,23 @@ class ContentModel:
         return self.__dict__ | {"_made": None}
 
     def _costs(self):
-        if self._made is None:
-            self._made = _Cost(self.ordinary), {k: _Cost(v) for k, v in self.categories.items()}
+        if self._made is None:  # a category nothing is known of has no dictionary and saves nothing
+            self._made = _Cost(self.ordinary), {k: _Cost(v) for k, v in self.categories.items() if any(v)}
         return self._made
 
-    def window_score(self, window: str) -> dict[str, float]:
-        """The categories that save most against ordinary text, and bytes saved per character; every window is asked of every dictionary."""
+    def window_score(self, window: str, least: float | None = None) -> dict[str, float]:
+        """The categories that save most against ordinary text, and bytes saved per character.
+
+        With ``least``, windows are not asked of the categories where even the shortest frame there is would stay
+        below it: their scores, all below ``least``, are left out.
+        """
         ordinary, categories = self._costs()
-        base, costs = ordinary(window), {k: c(window) for k, c in categories.items()}
-        least = min(costs.values())
-        return {k: (base - least) / _size(window) for k, c in costs.items() if c == least}
+        base = ordinary(window)
+        if not categories or (least is not None and (base - _least_cost(window)) / _size(window) < least):
+            return {}
+        costs = {k: c(window) for k, c in categories.items()}
+        best = min(costs.values())
+        return {k: (base - best) / _size(window) for k, c in costs.items() if c == best}
 
     def scores(self, text: str | None, of=None) -> dict[str, float]:
         """Per category the score of the document's best window, 0 at least."""
@@ -235,132 +235,95 @@ def _attribute(found: dict[tuple[str, int], set[str]], start: dict[str, list[str
     return now
 
 
-class Corpus:
-    """What is common in all documents: words in more than 0.6 % of them, windows in more than 0.3 %."""
-
-    WORD_RATE, WINDOW_RATE = 0.006, 0.003
-
-    def __init__(self, words: set[str] = frozenset(), windows: dict[str, int] | None = None):
-        self.words, self.windows = words, windows or {}
+#: Words in a larger share of all documents are common.
+WORD_RATE = 0.006
 
 
-def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], corpus: Corpus) -> ContentModel:
-    """rows: id, windows, labels. Uncalibrated."""
+def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], common: frozenset[str] | set[str]) -> ContentModel:
+    """rows: id, windows, labels; common: words common in all documents. Uncalibrated."""
     none = [r for r in rows if r[2] == {"none"}]
     flagged_rows = [r for r in rows if r[2] and "none" not in r[2]]
+    given = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in (*CATEGORIES, "none")}
 
-    def telltale(parts) -> set[str]:
-        """What is in four flagged documents at least and six times as often there as in ordinary ones: common, but not ordinary."""
-        bad = Counter(x for _, ws, _ in flagged_rows for x in parts(ws))
-        good = Counter(x for _, ws, _ in none for x in parts(ws))
-        return {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (good[x] + 0.5) / (len(none) + 1)}
-
-    telltale_windows, telltale_words = telltale(set), telltale(lambda ws: {x for w in ws for x in _words(w)})
-    common_words = corpus.words - telltale_words
-    frequency = Counter(w for _, ws, _ in none for w in ws) + Counter({w: n for w, n in corpus.windows.items() if w not in telltale_windows and not telltale_words & set(_words(w))})
-    common = lambda texts: _content(sorted(texts, key=lambda w: (-frequency[w], w)))
-    seen = Counter(x for _, ws, _ in none for x in {x for w in ws for x in _words(w)})
+    # Words in four flagged documents at least and six times as often there as in ordinary ones: common, but not ordinary.
+    parts = lambda ws: {x for w in ws for x in _words(w)}
+    bad, seen = Counter(x for _, ws, _ in flagged_rows for x in parts(ws)), Counter(x for _, ws, _ in none for x in parts(ws))
+    telltale = {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (seen[x] + 0.5) / (len(none) + 1)}
+    frequency = Counter(w for _, ws, _ in none for w in ws)
     rare = max(1, len(none) // 700)
-    frequency.update({t: 3 for t in re.split(r"(?<=[.])\s|\n", LOOK_ALIKES)})
-    seen.update(x for t in re.split(r"(?<=[.])\s|\n", LOOK_ALIKES) for x in set(_words(t)) for _ in range(rare + 1))
-    telling = lambda w: {x for x in _words(w) if len(x) > 2 and (seen[x] <= rare or x in telltale_words) and x not in common_words}
-    start = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in CATEGORIES}
+    frequency.update({t: 3 for t in given["none"]})
+    seen.update(x for t in given["none"] for x in set(_words(t)) for _ in range(rare + 1))
+    telling = lambda w: {x for x in _words(w) if len(x) > 2 and (x in telltale or (seen[x] <= rare and x not in common))}
+    contents = lambda texts: _content(sorted(texts, key=lambda w: (-frequency[w], w)))
+    start = {k: given[k] for k in CATEGORIES}
+    told = [(w, i, labels) for i, ws, labels in flagged_rows for w in ws if telling(w)]
 
     def learn(ordinary: list[bytes]) -> dict[str, list[bytes]]:
         cost = _Cost(ordinary)
-        found = {
-            (w, i): labels
-            for i, ws, labels in rows
-            if labels and "none" not in labels
-            for w in ws
-            if len(w) >= 12 and telling(w) and cost(w) > 0.45 * _size(w)
-        }
-        # One of the rare words has to occur in a second flagged document or in the seeds.
-        documents: dict[str, set[int]] = {}
-        for w, i in found:
-            for x in telling(w):
-                documents.setdefault(x, set()).add(i)
-        backed = {x for x, ids in documents.items() if len(ids) > 1} | {x for texts in start.values() for t in texts for x in _words(t)}
-        found = {(w, i): labels for (w, i), labels in found.items() if telling(w) & backed}
+        found = {(w, i): labels for w, i, labels in told if cost(w) > 0.45 * _size(w)}
         now = _attribute(found, start)
         return {k: _content(start[k] + sorted({w for (w, _), c in now.items() if c == k})) for k in CATEGORIES}
 
-    content = learn(common(frequency))
+    content = learn(contents(frequency))
     # Some documents passed as ordinary are not: what the other half of them compresses far worse than a category does is left out.
     suspect = set()
     for half in (0, 1):
-        others = ContentModel(common({w for n, (_, ws, _) in enumerate(none) if n % 2 != half for w in ws}), content, {})
+        others = ContentModel(contents({w for n, (_, ws, _) in enumerate(none) if n % 2 != half for w in ws}), content, {})
         for n, (_, ws, _) in enumerate(none):
             if n % 2 == half:
-                suspect |= {w for w in ws if frequency[w] <= 2 + len(none) // 500 and max(others.window_score(w).values()) > 0.25}
-    ordinary = common(frequency.keys() - suspect)
+                suspect |= {w for w in ws if frequency[w] <= 2 + len(none) // 500 and max(others.window_score(w, 0.25).values(), default=0.0) > 0.25}
+    ordinary = contents(frequency.keys() - suspect)
     return ContentModel(ordinary, learn(ordinary), {})
 
 
-#: The threshold where fewer than 50 documents of a category are labelled, too few to calibrate on.
-USUAL_THRESHOLD = 0.11
+#: Where a threshold lies before any review, and how many flagged reviews weigh as much as that.
+USUAL_THRESHOLD, PRIOR_REVIEWS = 0.12, 20
 
 
 def _best_threshold(scored: list[tuple[float, bool]]) -> float:
-    """Of the thresholds from 0.08 to 0.2 whose F1 is within 0.01 of the best, the one nearest the usual."""
+    """The threshold from 0.06 to 0.24 of the best F1, drawn towards the usual one the more, the fewer reviews name the category."""
     total = sum(y for _, y in scored)
-    if total < 50:
-        return USUAL_THRESHOLD
-    f1 = {}
-    for t in (x / 100 for x in range(8, 21)):
+
+    def worth(t: float) -> float:
         hit = [y for v, y in scored if v >= t]
-        f1[t] = 2 * sum(hit) / (len(hit) + total)
-    return min((t for t in f1 if f1[t] >= max(f1.values()) - 0.01), key=lambda t: (abs(t - USUAL_THRESHOLD), t))
+        f1 = 2 * sum(hit) / max(1, len(hit) + total)
+        return total * f1 - PRIOR_REVIEWS * abs(t - USUAL_THRESHOLD)
+
+    return max((x / 100 for x in range(6, 25)), key=lambda t: (worth(t), -abs(t - USUAL_THRESHOLD)))
 
 
-def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None = None, corpus: Corpus | None = None, folds: int = 3) -> ContentModel:
-    """reviewed: doc_id, text, the categories reviewers named. Works with no reviews at all, from the seeds."""
-    seeds, corpus = SEEDS if seeds is None else seeds, corpus or Corpus()
+def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None = None, common: set[str] | frozenset[str] = frozenset(), folds: int = 2) -> ContentModel:
+    """reviewed: doc_id, text, the categories reviewers named.
+
+    ``seeds``: sentences of a category (or of ``none``) to start from where there are few reviews; without both nothing is flagged.
+    """
+    seeds = seeds or {}
     rows = [(i, windows(t), labels) for i, t, labels in sorted(reviewed, key=lambda r: r[0])]
-    model = _train(rows, seeds, corpus)
+    model = _train(rows, seeds, common)
     held: dict[str, list[tuple[float, bool]]] = {k: [] for k in CATEGORIES}
     for fold in range(folds):
-        part = _train([r for n, r in enumerate(rows) if n % folds != fold], seeds, corpus)
+        part = _train([r for n, r in enumerate(rows) if n % folds != fold], seeds, common)
         for n, (_, ws, labels) in enumerate(rows):
             if n % folds == fold and labels and not ("none" in labels and len(labels) > 1):
-                out = part.best_of(ws)
+                out = part.best_of(ws, lru_cache(maxsize=None)(partial(part.window_score, least=0.06)))
                 for k in CATEGORIES:
                     held[k].append((out[k], k in labels))
     model.thresholds = {k: _best_threshold(held[k]) for k in CATEGORIES}
     return model
 
 
-def corpus_statistics(documents: DataFrame) -> Corpus:
-    """Counts the words and windows of every document. What is collected is bounded: no more words (windows)
-    can be in so large a share of the documents than a document has on average, divided by the rate."""
+def common_words(documents: DataFrame, rate: float = WORD_RATE) -> set[str]:
+    """Words in more than ``rate`` of all documents, counted over all of them, map-side first. What is collected is bounded:
+    no more words can be in so large a share than a document has different words on average, divided by the rate."""
+    words = documents.where("text is not null").select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
+    whole = documents.count()
+    return {r.word for r in words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > max(rate * whole, 2)).select("word").collect()} - {""}
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
-        for b in batches:
-            for t in b["text"]:
-                ws = windows(t)
-                counts.update(("w", w) for w in ws)
-                counts.update(("x", x) for x in {x for w in ws for x in _words(w)})
-                counts[("n", "")] += 1
-            if len(counts) > 200_000:
-                yield _counted(counts)
-                counts = Counter()
-        yield _counted(counts)
-
-    counted = spread(documents.select("text")).mapInPandas(count, "kind string, item string, n bigint").groupBy("kind", "item").agg(F.sum("n").alias("n"))
-    counted = stored(counted, "content-counts")
-    whole = counted.where("kind = 'n'").agg(F.sum("n").alias("n")).first().n or 0
-    least = F.when(F.col("kind") == "x", Corpus.WORD_RATE).otherwise(Corpus.WINDOW_RATE) * whole
-    common = counted.where((F.col("kind") != "n") & (F.col("n") > F.greatest(least, F.lit(2)))).collect()
-    return Corpus({r.item for r in common if r.kind == "x"}, {r.item: r.n for r in common if r.kind == "w"})
-
-
-def _counted(counts: Counter) -> pd.DataFrame:
-    return pd.DataFrame([(k, i, n) for (k, i), n in counts.items()], columns=["kind", "item", "n"])
-
-
-def fit_reviews(documents: DataFrame, reviews: DataFrame, max_reviewed: int = MAX_REVIEWED, seeds: dict[str, str] | None = None) -> ContentModel:
-    """Fits on at most ``max_reviewed`` reviewed documents."""
+
+def fit_reviews(
+    documents: DataFrame, reviews: DataFrame, max_reviewed: int = MAX_REVIEWED, max_chars: int = MAX_REVIEWED_CHARS, seeds: dict[str, str] | None = None
+) -> ContentModel:
+    """Fits on at most ``max_reviewed`` reviewed documents with at most ``max_chars`` characters in all."""
     labels = (
         reviews.where("doc_id is not null and category is not null")
         .groupBy("doc_id")
@@ -369,21 +332,31 @@ def fit_reviews(documents: DataFrame, reviews: DataFrame, max_reviewed: int = MA
         .limit(max_reviewed)
     )
     # The labels are bounded by max_reviewed, so they travel to the texts and not the other way round.
-    rows = documents.select("doc_id", "text").join(F.broadcast(labels), "doc_id").where("text is not null").dropDuplicates(["doc_id"]).collect()
-    return fit([(r.doc_id, r.text, set(r.labels) & {*CATEGORIES, "none"}) for r in rows], seeds, corpus_statistics(documents))
+    texts = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(labels), "doc_id").dropDuplicates(["doc_id"])
+    texts = stored(texts.withColumn("order", F.xxhash64("doc_id")), "reviewed-texts")
+    sized = texts.select("order", "doc_id", F.length("text").alias("chars")).orderBy("order", "doc_id").collect()  # max_reviewed at most
+    taken, chars = [], 0
+    for r in sized:
+        if chars + r.chars > max_chars:
+            break
+        chars += r.chars
+        taken.append(r.order)
+    rows = texts.where(F.col("order") <= taken[-1]).collect() if taken else []
+    return fit([(r.doc_id, r.text, set(r.labels) & {*CATEGORIES, "none"}) for r in rows], seeds, common_words(documents))
 
 
-def score_documents(documents: DataFrame, model: ContentModel) -> DataFrame:
-    """doc_id, source and per category a score and a flag (``is_<category>``), one row per document.
+def score_documents(documents: DataFrame, model: ContentModel, below: bool = True) -> DataFrame:
+    """doc_id, source and per category a score and a flag (``is_<category>``), one row per document. Without ``below``
+    windows that cannot reach the lowest threshold are not asked of the categories and score 0; the flags are the same.
 
     Defined results: NULL, blank and very short texts score 0; very long ones are read whole, window by
     window; copies score alike; repeated rows each give a row; an empty table gives none.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by the texts of max_reviewed documents
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by max_reviewed and max_chars
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        of = lru_cache(maxsize=200_000)(m.window_score)
+        of = lru_cache(maxsize=200_000)(partial(m.window_score, least=None if below else min(m.thresholds.values())))
         for b in batches:
             scored = [m.scores(t, of) for t in b.column("text").to_pylist()]
             columns = {"doc_id": b.column("doc_id"), "source": b.column("source")}

@@ -43,9 +43,9 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.share_report(mixing.mix_documents(table(spark, d, "documents"), targets), targets)
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
+def _scored(spark: SparkSession, d: str, below: bool = False) -> DataFrame:
     documents = table(spark, d, "documents")
-    return content.score_documents(documents, content.fit_reviews(documents, table(spark, d, "content_reviews")))
+    return content.score_documents(documents, content.fit_reviews(documents, table(spark, d, "content_reviews")), below)
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -53,7 +53,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _scored(spark, d).select("doc_id", *[F.round(k, 4).alias(f"{k}_score") for k in content.CATEGORIES])
+    return _scored(spark, d, below=True).select("doc_id", *[F.round(k, 4).alias(f"{k}_score") for k in content.CATEGORIES])
 
 
 def p9_rates(spark: SparkSession, d: str) -> DataFrame:

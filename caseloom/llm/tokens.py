@@ -32,10 +32,11 @@ def _counter(path: str):
     return _loaded[path]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, for tables too small to fill them otherwise."""
+def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
+    """A table too small to fill the cores (below ``least_bytes`` each, by its size estimate) is dealt out over them; any other is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * least_bytes else df
 
 
 def with_tokens(df: DataFrame, keep: list[str], text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
