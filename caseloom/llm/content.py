@@ -133,9 +133,13 @@ class _Cost:
         )
         return zstandard.ZstdCompressor(dict_data=dictionary, compression_params=how).compress
 
+    def of(self, raw: bytes) -> int:
+        if len(self._compress) == 1:
+            return len(self._compress[0](raw)) - _OVERHEAD
+        return min([len(c(raw)) for c in self._compress]) - _OVERHEAD
+
     def __call__(self, window: str) -> int:
-        raw = window.encode()
-        return min(len(c(raw)) for c in self._compress) - _OVERHEAD
+        return self.of(window.encode())
 
 
 def _size(window: str) -> int:
@@ -176,13 +180,14 @@ class ContentModel:
         With ``least``, windows are not asked of the categories where even the shortest frame there is would stay
         below it: their scores, all below ``least``, are left out.
         """
-        ordinary, categories = self._costs()
-        base = ordinary(window)
-        if not categories or (least is not None and (base - _least_cost(window)) / _size(window) < least):
+        ordinary, categories = self._made or self._costs()
+        raw, size = window.encode(), _size(window)
+        base = ordinary.of(raw)
+        if not categories or (least is not None and base - 5 < least * size and base - _least_cost(window) < least * size):
             return {}
-        costs = {k: c(window) for k, c in categories.items()}
-        best = min(costs.values())
-        return {k: (base - best) / _size(window) for k, c in costs.items() if c == best}
+        costs = [(c.of(raw), k) for k, c in categories.items()]
+        best = min(costs)[0]
+        return {k: (base - best) / size for c, k in costs if c == best}
 
     def scores(self, text: str | None, of=None) -> dict[str, float]:
         """Per category the score of the document's best window, 0 at least."""

@@ -15,6 +15,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return mapped.select("extraction_id", "term_no", "symptom")
 
 
+def p2_listed(spark: SparkSession, d: str) -> DataFrame:
+    mapped = vocabulary.map_terms(table(spark, d, "extraction_results"), table(spark, d, "symptom_vocabulary"))
+    return mapped.where("listed").select("extraction_id", "term_no", "symptom")
+
+
 def p2_mapped(spark: SparkSession, d: str) -> DataFrame:
     mapped = vocabulary.map_terms(table(spark, d, "extraction_results"), table(spark, d, "symptom_vocabulary"))
     return vocabulary.as_lists(mapped)
@@ -60,4 +65,4 @@ def p9_rates(spark: SparkSession, d: str) -> DataFrame:
     return content.source_rates(_scored(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_mapped, p2_unmatched, p7_pack, p7_fill, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_listed, p2_mapped, p2_unmatched, p7_pack, p7_fill, p8_mix, p8_shares, p9_found, p9_scores, p9_rates)}

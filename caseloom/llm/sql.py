@@ -1,4 +1,9 @@
-"""SQL of the queries on texts. Fuzzy lookup, packing, seeded selection and compression have none:
-they are tested against brute force, exact properties and held-out labels in ``tests/llm``."""
+"""SQL of the queries on texts, where SQL can express them. Fuzzy lookup, the containers themselves, seeded selection and
+compression have none: they are tested against brute force, exact properties and held-out labels in ``tests/llm``."""
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p2_listed": """WITH words AS (SELECT lower(trim(wording)) AS form, min(symptom) AS symptom FROM symptom_vocabulary GROUP BY 1),
+terms AS (SELECT extraction_id, generate_subscripts(symptoms, 1) AS term_no, unnest(symptoms) AS typed FROM extraction_results)
+SELECT extraction_id, CAST(term_no AS INTEGER) AS term_no, words.symptom
+FROM terms JOIN words ON words.form = lower(regexp_replace(typed, '^\\s+|\\s+$', '', 'g'))""",
+}

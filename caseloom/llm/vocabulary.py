@@ -1,105 +1,43 @@
 """Problem 2: mapping free-entered values to a canonical list.
 
-A symmetric-delete dictionary of the list's wordings is built once on the driver (its size is checked
-against a bound), broadcast, and looked up by Python workers in Arrow batches: every wording within
-the bounded edit distance of a typed value shares a string with it after at most that many deletions.
-Candidates are ranked by weighted Damerau-Levenshtein distance, then by how often the wording is typed
-correctly. Typed values are looked up where they are: no shuffle, so a value that makes up a third of
-all rows costs a cache hit per row.
+A symmetric-delete dictionary of the list's wordings finds, for a typed value, every wording within the
+bounded edit distance: the two share a string after at most that many deletions. Candidates are ranked by
+weighted Damerau-Levenshtein distance, then by how often the wording is typed correctly. What surrounds a
+wording without meaning anything ("since monday", "pt c/o") is learnt from the typed values themselves: it
+stands beside wordings of several entries. Wordings typed correctly are found in the JVM; every other value is
+looked up once, however often it is typed, and joined back.
+
+The dictionary is broadcast while its size, which is measured, stays within a bound; beyond it the same
+strings are a table and the look-up is a join.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caseloom.session import stored
+
 UNMATCHED = "unmatched"
 
-#: A reference list beyond this many wordings is refused, not broadcast.
-MAX_WORDINGS = 200_000
-
-#: Lay wordings and chart abbreviations that no edit distance reaches; a parameter of the operator.
-ALIASES = {
-    "fever": "running a temp; temp up; burning up; hot to touch; febrile; temp #; thermometer read #; temperature of #",
-    "vomiting": "cannot keep food down; can't keep anything down; brought up breakfast; brought up lunch; brought up dinner; puking; vom; vomit; vomited",
-    "watery diarrhea": "on the toilet every ten minutes; squirts; diarrhea; wtry diarrhea; watery stools; loose stools; stools like water",
-    "headache": "head is pounding; migraine-like head ache; head ache; ha; h/a; sore head",
-    "abdominal cramps": "abd cramps; abdom cramping; abdominal pain; stomach cramps; tummy cramps; tummy ache; belly ache",
-    "shortness of breath": "sob; sob on exertion; winded on stairs; winded; short of breath; out of breath; can't catch breath; gasping for air",
-    "red eyes": "both eyes red and gunky; eyes bright red; gunky eyes; eyes bloodshot",
-    "chills": "teeth chattering; cold and shaky; shakes",
-    "fatigue": "completely drained; no energy at all; no energy; worn out; sleeping all day; tired; exhausted; wiped out",
-    "loss of appetite": "off food; doesn't want to eat anything; doesn't want to eat; loa; loa (appetite); no appetite; won't eat",
-    "confusion": "did not know what day it was; not making sense; muddled; disoriented; talking nonsense",
-    "chest pain": "cp; chest hurts",
-    "hoarseness": "raspy voice; voice gone croaky; croaky voice; voice gone",
-    "loss of smell": "sense of smell gone; can't smell coffee any more; can't smell; no sense of smell",
-    "night sweats": "sheets soaked at night; wakes up drenched; noct sweats; nt sweats",
-    "palpitations": "heart fluttering; heart going too fast; heart skipping beats",
-    "painful urination": "stings to pee; burns to pee; burns when peeing; hurts to pee",
-    "nasal congestion": "nose all bunged up; bunged up nose; nose congest; can't breathe through nose; cannot breathe through nose, stuffed",
-    "difficulty swallowing": "hard to swallow; food gets stuck; trouble swallowing; diffic swallow",
-    "swollen glands": "glands up; lumps in neck; swoln lns",
-    "muscle pain": "myalgia; aching all over; body aches; sore muscles",
-    "joint pain": "jnt pains; joints hurt; achy joints; sore joints",
-    "dehydration": "dehyd; dehydr; dehydrated",
-    "insomnia": "can't sleep; awake all night; no sleep",
-    "dizziness": "dizzy; room spinning; head spinning",
-    "runny nose": "nose running; nose won't stop running",
-    "sore throat": "throat sore; hurts to swallow",
-    "seizures": "seizure; had a fit; convulsed",
-    "skin rash": "rash; rash all over; covered in spots",
-    "neck stiffness": "neck rigid; neck stiff; can't bend neck; can't touch chin to chest",
-    "light sensitivity": "light hurts eyes; can't stand light",
-    "jaundice": "skin turned yellow; skin gone yellow; whites of the eyes yellowish; turned yellow",
-    "nosebleed": "nose bleed; nose won't stop bleeding",
-    "itching": "itchy; itches all over; can't stop scratching",
-    "weight loss": "wt loss; wt loss #; weight loss #; lost weight; clothes hanging off",
-    "weakness": "weak; legs gave way; no strength",
-    "constipation": "constipated; no bowel movement",
-    "bloody stool": "blood on toilet paper after stool; passed blood with bowel movement; bloody diarrhea; passing blood",
-    "nausea": "queasy; sick to stomach; nauseous",
-    "coughing up blood": "spat blood after coughing; blood when coughing; coughs blood",
-    "cough": "coughing; can't stop coughing",
-    "productive cough": "bringing up phlegm; coughing up mucus; chesty cough",
-    "wheezing": "whistling when breathing; chest whistling; wheeze",
-    "bloating": "bloated; full of gas",
-    "blurred vision": "seeing double; can't see straight; everything blurry",
-    "back pain": "back hurts; sore back",
-    "dark urine": "pee like cola; urine like tea",
-    "earache": "ear hurts; ear ache; pulling at ear",
-    "eye pain": "eyes hurt; painful eyes",
-    "muscle spasms": "muscle cramps; charley horse",
-    "mouth sores": "sores in mouth; canker sores",
-    "blisters": "blistering; water blisters",
-    "easy bruising": "bruises easily; bruises for no reason",
-}
-
-#: Abbreviated words of charts, spelt out before a lookup.
-SHORT_WORDS = {"abd": "abdominal", "pn": "pain", "thr": "throat", "jt": "joint", "ch": "chest", "diff": "difficulty", "decr": "poor", "lns": "lymph nodes", "ln": "lymph nodes", "swoln": "swollen", "ha": "headache", "teh": "the"}
-
-_QUALIFIERS = [
-    r"\((?:mild|moderate|severe|bad|slight|appetite|new|ongoing)\)",
-    r"^(?:(?:pt|patient)\s+)?(?:c/o|h/o|reports?|complains of|presents with|has|had|with|hx of|history of|also)\s+",
-    r"^(?:new onset(?: of)?|ongoing|mild|moderate|severe|bad|some|slight|a bit of|a little|worsening|intermittent|on/off|on and off|constant|persisting|recurrent|occasional|frequent|terrible|awful|bit of|very|acute|chronic|sudden|still|lots of|recent)\s+",
-    r"(?:[;,\-]\s*|\s+)(?:resolved|improving|worse|worsening|better|gone|ongoing)(?:\s+(?:today|now|yesterday|at night|in the morning|with food|on exertion))?$",
-    r"\s+(?:since|from)\s+(?:last\s+)?[a-z]+$",
-    r"\s+since\s+(?:last\s+)?[a-z]+$",
-    r"\s+(?:for|x|day|over)\s*\d+\s*(?:d|days?|h|hrs?|hours?|w|wks?|weeks?)?$",
-    r"\s+x\s?\d+$",
-    r"\s+(?:after meals?|at night|at times|per (?:mother|father|parent|family|patient|spouse|carer)|on and off|on exertion|twice|once|daily|all day|today|yesterday|this week|overnight|in the morning|any more)$",
-    r"^[\s\-*\"'(\[.•>#]+|[\s\-*\"')\].;:,!?+•]+$",
-]
-_QUALIFIER = [re.compile(p) for p in _QUALIFIERS]
-_LEADING = _QUALIFIER[1:3]
+#: Bytes of a dictionary that is broadcast; a larger one is joined.
+MAX_BROADCAST = 64 << 20
+
+#: Rows of one value that a task joins; the results of values typed more often travel to their rows instead.
+ROWS_PER_TASK = 1_000_000
+
+#: Entries a context has to stand beside, and its longest length.
+CONTEXT_ENTRIES, CONTEXT_CHARS = 3, 48
+
+#: Never a mere context.
+_NEGATIONS = {"no", "not", "non", "none", "never", "without", "denies", "denied", "deny", "negative"}
 _HIDDEN = re.compile("[­​-‏‪-‮⁠-⁤﻿]")
 _LOOKALIKE = str.maketrans("аеорсухіјѕһԁɡαοερνικτ", "aeopcyxijshdgaoepvikt")
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"})
@@ -118,16 +56,60 @@ def normal(text: str) -> str:
     return re.sub(r"\s+", " ", t).strip()
 
 
-def stripped(text: str, leading: bool = True) -> str:
-    """Without qualifiers of time, degree, course and source (``leading=False``: none at the beginning), and without surrounding marks."""
-    while True:
-        t = text
-        for p in _QUALIFIER:
-            if leading or p not in _LEADING:
-                t = p.sub("", t).strip()
-        if not t or t == text:
-            return t or text
-        text = t
+def _marks(text: str) -> str:
+    return re.sub(r"^[\W_]+|[\W_]+$", "", text)
+
+
+def _bounds(text: str) -> list[int]:
+    """Where words begin or end."""
+    return [m.start() for m in re.finditer(r"(?<=[^\W_])(?=[\W_])|(?<=[\W_])(?=[^\W_])", text)]
+
+
+def residual(text: str) -> str:
+    """One spelling of what stands beside a wording: numbers made one, no white space around."""
+    return re.sub(r"\d+(?:[.,]\d+)?", "#", text).strip()
+
+
+@dataclass(frozen=True)
+class Contexts:
+    """What may stand before and after a wording without changing what it means."""
+
+    before: frozenset[str] = frozenset()
+    after: frozenset[str] = frozenset()
+
+    def stripped(self, text: str, leading: bool = True) -> str:
+        """``text`` without contexts (``leading=False``: none before it) and without surrounding marks."""
+        while True:
+            t = _marks(text)
+            # Bounds beyond the longest context are no candidates, so that long texts cost no more.
+            cut = next((k for k in _bounds(t[-CONTEXT_CHARS:]) if residual(t[-CONTEXT_CHARS:][k:]) in self.after), None) if self.after else None
+            if cut is not None and (rest := t[: max(0, len(t) - CONTEXT_CHARS) + cut].strip()):
+                t = rest
+            if leading and self.before:
+                cut = next((k for k in reversed(_bounds(t[:CONTEXT_CHARS])) if residual(t[:k]) in self.before), None)
+                if cut is not None and (rest := t[cut:].strip()):
+                    t = rest
+            if not t or t == text:
+                return t or text
+            text = t
+
+
+def context_pairs(typed: str, known: dict[str, str], longest: int) -> list[tuple[str, str, str]]:
+    """(side, residual, entry) of a value that holds one wording of the list, and something beside it."""
+    text = _marks(normal(typed))
+    if len(text) > longest + 2 * CONTEXT_CHARS:
+        return []
+    at = [0, *_bounds(text), len(text)]
+    found = [(i, j) for n, i in enumerate(at) for j in at[n + 1 :] if j - i <= longest and text[i:j] in known]
+    if not found:
+        return []
+    i, j = max(found, key=lambda x: (x[1] - x[0], -x[0]))
+    out = []
+    for side, rest, others in (("before", text[:i], [x for x in found if x[1] <= i]), ("after", text[j:], [x for x in found if x[0] >= j])):
+        r = residual(rest)
+        if r and len(r) <= CONTEXT_CHARS and not others and not _NEGATIONS & set(re.findall(r"[^\W\d_]+", r)):
+            out.append((side, r, known[text[i:j]]))
+    return out
 
 
 def letters(text: str) -> str:
@@ -188,82 +170,96 @@ def allowed(length: int) -> int:
     return 0 if length <= 3 else 1 if length <= 5 else 2 if length <= 11 else 3
 
 
+Hit = tuple[str, str, int]  # key of a wording, entry, how often the wording is typed
+
+
+def index_entries(symptom: str, wording: str, frequency: int, edits: int = 3) -> list[tuple[str, Hit]]:
+    """(probe, hit) of a wording: itself (``e``), what deletions leave of it (``d``) and of its sound (``s``), and its
+    number of words and first letters (``p``, with the words as key)."""
+    text = normal(wording)
+    key, words = letters(text), text.split()
+    if not key:
+        return []
+    hit = (key, symptom, frequency)
+    return [
+        (f"e{key}", hit),
+        *((f"d{d}", hit) for d in deletes(key, min(edits, allowed(len(key))))),
+        *((f"s{d}", hit) for d in deletes(sound(key), 1)),
+        (f"p{len(words)} {words[0][:3]}", (text, symptom, frequency)),
+    ]
+
+
 class SymmetricDelete:
-    """The dictionary: wordings (and aliases) by what is left of them after deletions."""
+    """The look-up. ``index``: probe -> hits, the whole dictionary or what a value's probes find of it."""
 
-    def __init__(self, wordings: list[tuple[str, str]], frequency: dict[str, int], aliases: dict[str, str] | None = None, edits: int = 3):
-        self.edits = edits
-        self.wordings = {w.strip().lower() for _, w in wordings}
-        self.entry: dict[str, tuple[str, int]] = {}  # key -> entry meant, frequency
-        known = {s for s, _ in wordings}
+    def __init__(self, wordings: Iterable[tuple[str, str]] = (), frequency: dict[str, int] | None = None, aliases: dict[str, str] | None = None, edits: int = 3, contexts: Contexts | None = None, longest: int = 0):
+        self.edits, self.contexts = edits, contexts or Contexts()
+        self.index: dict[str, list[Hit]] = {}
+        self.longest = longest  # letters of the longest wording: a value with many more is within no distance
+        frequency = frequency or {}
         for symptom, wording in wordings:
-            key = letters(normal(wording))
-            if key and (key not in self.entry or frequency.get(wording, 0) > self.entry[key][1]):
-                self.entry[key] = (symptom, frequency.get(wording, 0))
-        self.words = [(normal(w).split(), s) for s, w in wordings]
-        self.alias = {}
-        for symptom, words in (ALIASES if aliases is None else aliases).items():
+            for probe, hit in index_entries(symptom, wording, frequency.get(listed_form(wording), 0), edits):
+                self.index.setdefault(probe, []).append(hit)
+            self.longest = max(self.longest, len(letters(normal(wording))))
+        known = {s for s, _ in wordings}
+        self.alias: dict[str, str] = {}
+        for symptom, words in (aliases or {}).items():
             if symptom in known:
                 for w in words.split("; "):
-                    self.alias.setdefault(letters(stripped(normal(w))), symptom)
                     self.alias.setdefault(letters(normal(w)), symptom)
-        self.longest = max(map(len, self.entry), default=0)
-        self.by_delete: dict[str, list[str]] = defaultdict(list)
-        self.by_sound: dict[str, list[str]] = defaultdict(list)
-        for key in self.entry:
-            for d in deletes(key, min(self.edits, allowed(len(key)))):
-                self.by_delete[d].append(key)
-            for d in deletes(sound(key), 1):
-                self.by_sound[d].append(key)
+
+    def hits(self, probe: str) -> list[Hit]:
+        return self.index.get(probe, ())
 
     def exact(self, text: str) -> str | None:
         key = letters(text)
-        if key in self.entry:
-            return self.entry[key][0]
-        if key in self.alias:
-            return self.alias[key]
-        spelt = " ".join(SHORT_WORDS.get(w.strip("."), w) for w in text.split())
-        if spelt != text:
-            return self.exact(spelt)
-        return None
+        if not key:
+            return None
+        if found := self.hits(f"e{key}"):
+            return min(found, key=lambda h: (-h[2], h[1]))[1]
+        return self.alias.get(key)
 
     def close(self, text: str) -> str | None:
         """The best wording within the allowed edits, or with the same sound but for one edit."""
         key = letters(text)
         if not 4 <= len(key) <= self.longest + self.edits:
             return None
-        found: dict[str, float] = {}
+        found: dict[Hit, float] = {}
+        seen: set[Hit] = set()
         for edits in range(min(2, self.edits), self.edits + 1):  # the wider search only where the narrow one finds nothing
             for d in deletes(key, min(edits, allowed(len(key)))):
-                for c in self.by_delete.get(d, ()):
-                    if c not in found and abs(len(c) - len(key)) <= edits:
-                        bound = min(allowed(len(c)), allowed(len(key)), edits)
-                        if (w := weighted_distance(key, c, bound)) <= bound:
-                            found[c] = w
+                for hit in self.hits(f"d{d}"):
+                    if (hit, edits) not in seen:
+                        seen.add((hit, edits))
+                        bound = min(allowed(len(hit[0])), allowed(len(key)), edits)
+                        if abs(len(hit[0]) - len(key)) <= edits and (w := weighted_distance(key, hit[0], bound)) <= bound:
+                            found[hit] = w
             if found:
                 break
         heard = sound(key)
         for d in deletes(heard, 1):
-            for c in self.by_sound.get(d, ()):
-                w = 0.3 + weighted_distance(heard, sound(c), 1)
-                if w <= (1.3 if len(c) > 5 else 0.8):
-                    found[c] = min(w, found.get(c, 9))
+            for hit in self.hits(f"s{d}"):
+                if (hit, "s") not in seen:
+                    seen.add((hit, "s"))
+                    w = 0.3 + weighted_distance(heard, sound(hit[0]), 1)
+                    if w <= (1.3 if len(hit[0]) > 5 else 0.8):
+                        found[hit] = min(w, found.get(hit, 9))
         if not found:
             return self.cut_short(text)
-        return self.entry[min(found, key=lambda c: (found[c], -self.entry[c][1], c))][0]
+        return min(found, key=lambda h: (found[h], -h[2], h))[1]
 
     def cut_short(self, text: str) -> str | None:
         """The one entry whose wording has, word for word, these beginnings (of three letters or more)."""
         words = [w.strip(".,;:") for w in text.split()]
         if min(map(len, words), default=0) < 3 or sum(map(len, words)) < 5:
             return None
-        hits = {s for parts, s in self.words if len(parts) == len(words) and all(p.startswith(w) for p, w in zip(parts, words))}
-        return hits.pop() if len(hits) == 1 else None
+        found = {s for t, s, _ in self.hits(f"p{len(words)} {words[0][:3]}") if all(p.startswith(w) for p, w in zip(t.split(), words))}
+        return found.pop() if len(found) == 1 else None
 
     def resolve(self, typed: str) -> list[str]:
         """The entries a typed value means, in the order named; empty if none."""
         text = normal(typed)
-        short = stripped(text)
+        short = self.contexts.stripped(text)
         for t in dict.fromkeys((text, short)):
             if hit := self.exact(t):
                 return [hit]
@@ -273,12 +269,12 @@ class SymmetricDelete:
             swapped = f"{b.strip()} {a.strip()}"
             if hit := self.exact(swapped):
                 return [hit]
-        parts = [stripped(p) for p in _PARTS.split(short) if p.strip()]
+        parts = [self.contexts.stripped(p) for p in _PARTS.split(short) if p.strip()]
         if len(parts) > 1:
             hits = [self.exact(p) for p in parts]
             if all(hits):
                 return list(dict.fromkeys(hits))
-        for t in (short, swapped, stripped(text, leading=False)):
+        for t in (short, swapped, self.contexts.stripped(text, leading=False)):
             if t and (hit := self.close(t)):
                 return [hit]
         if len(parts) > 1:
@@ -286,50 +282,150 @@ class SymmetricDelete:
         return []
 
 
-def dictionary(results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str] | None = None, edits: int = 3, max_wordings: int = MAX_WORDINGS) -> SymmetricDelete:
-    """Builds the dictionary: the list itself and, counted over all rows, how often each wording was typed."""
-    words = [(r.symptom, r.wording) for r in vocabulary.select("symptom", "wording").where("symptom is not null and wording is not null").distinct().limit(max_wordings + 1).collect()]
-    if len(words) > max_wordings:
-        raise ValueError(f"the reference list has more than {max_wordings} wordings")
-    typed = F.lower(F.trim(F.col("t")))
-    counts = (
-        results.select(F.explode("symptoms").alias("t"))
-        .where(typed.isin([w.lower().strip() for _, w in words]) if len(words) <= 1000 else typed.isNotNull())
-        .groupBy(typed.alias("w"))
-        .count()
-    )
-    if len(words) > 1000:
-        counts = counts.join(vocabulary.select(F.lower(F.trim("wording")).alias("w")).distinct(), "w", "left_semi")
-    frequency = {r.w: r["count"] for r in counts.collect()}  # no more rows than the list has wordings
-    return SymmetricDelete(sorted(words), frequency, aliases, edits)
+class _Probes(SymmetricDelete):
+    """Finds nothing and notes what it was asked for, so every way of :meth:`resolve` is gone."""
 
+    def __init__(self, edits: int, contexts: Contexts, longest: int):
+        super().__init__(edits=edits, contexts=contexts, longest=longest)
+        self.asked: set[str] = set()
 
-def map_terms(results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str] | None = None, edits: int = 3) -> DataFrame:
-    """extraction_id, term_no, typed, symptom, listed: one row for every entry a typed element means, else ``unmatched``;
-    listed: whether the element is, trimmed and in lower case, a wording of the list.
+    def hits(self, probe: str) -> list[Hit]:
+        self.asked.add(probe)
+        return ()
 
-    Defined results: NULL and blank elements, NULL and empty lists give no row; an element that is a
-    wording of the list gives its entry; repeated elements and rows each give their rows; very long
-    elements are read whole (none is within the edit distance of a short wording); extra columns are ignored.
-    """
-    spark = results.sparkSession
-    index = spark.sparkContext.broadcast(dictionary(results, vocabulary, aliases, edits))
+    def of(self, typed: str) -> list[str]:
+        self.asked = set()
+        self.resolve(typed)
+        return sorted(self.asked)
 
-    def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = index.value
-        resolve = lru_cache(maxsize=100_000)(lambda t: (found.resolve(t) or [UNMATCHED], t.strip().lower() in found.wordings))
-        for b in batches:
-            hits = [resolve(t) for t in b.column("typed").to_pylist()]
-            rows = b.take(pa.array([i for i, (h, _) in enumerate(hits) for _ in h], pa.int64()))
-            symptoms = pa.array([x for h, _ in hits for x in h], pa.string())
-            listed = pa.array([known for h, known in hits for _ in h], pa.bool_())
-            yield pa.RecordBatch.from_arrays([*rows.columns, symptoms, listed], [*b.schema.names, "symptom", "listed"])
 
+def listed_form(wording: str) -> str:
+    """Trimmed and in lower case, white space as Spark's ``\\s``."""
+    return re.sub(r"^[ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+$", "", wording).lower()
+
+
+def _listed_form(c: Column) -> Column:
+    return F.lower(F.regexp_replace(c, r"^\s+|\s+$", ""))
+
+
+def typed_terms(results: DataFrame) -> DataFrame:
+    """extraction_id, term_no, typed of every element that is not NULL or blank."""
     terms = results.select("extraction_id", F.posexplode("symptoms").alias("pos", "typed")).select(
         "extraction_id", (F.col("pos") + 1).cast("int").alias("term_no"), "typed"
     )
-    kept = terms.where(F.col("typed").isNotNull() & ~F.col("typed").rlike(r"\A\s*\z"))
-    return kept.mapInArrow(lookup, "extraction_id bigint, term_no int, typed string, symptom string, listed boolean")
+    return terms.where(F.col("typed").isNotNull() & ~F.col("typed").rlike(r"\A\s*\z"))
+
+
+def _vocabulary(vocabulary: DataFrame) -> DataFrame:
+    return vocabulary.select("symptom", "wording").where("symptom is not null and wording is not null").distinct()
+
+
+def _in_batches(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield run(b)
+
+    return df.mapInArrow(each, schema)
+
+
+def learn_contexts(values: DataFrame, vocabulary: DataFrame, entries: int = CONTEXT_ENTRIES) -> Contexts:
+    """What stands beside wordings of at least ``entries`` entries in the typed values (column ``typed``, each once).
+
+    Only the contexts themselves come to the driver, each of at most ``CONTEXT_CHARS`` characters and backed by ``entries`` values."""
+    words = {normal(r.wording): r.symptom for r in _vocabulary(vocabulary).orderBy(F.desc("symptom"), F.desc("wording")).collect()}
+    longest = max(map(len, words), default=0)
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [x for t in b.column("typed").to_pylist() for x in context_pairs(t, words, longest)]
+        return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.string()) for n in range(3)], ["side", "residual", "symptom"])
+
+    pairs = _in_batches(values.select("typed"), run, "side string, residual string, symptom string").distinct()
+    kept = pairs.groupBy("side", "residual").agg(F.count("*").alias("n")).where(F.col("n") >= entries).collect()
+    return Contexts(*(frozenset(r.residual for r in kept if r.side == s) for s in ("before", "after")))
+
+
+def index_table(vocabulary: DataFrame, frequency: DataFrame, edits: int = 3) -> DataFrame:
+    """probe, key, symptom, frequency: the dictionary as a table. frequency: form (see :func:`listed_form`), n."""
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        rows = [(p, *h) for s, w, n in zip(*(b.column(c).to_pylist() for c in ("symptom", "wording", "n"))) for p, h in index_entries(s, w, n or 0, edits)]
+        return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.string(), pa.string(), pa.string(), pa.int64()))], ["probe", "key", "symptom", "frequency"])
+
+    v = _vocabulary(vocabulary).withColumn("form", _listed_form(F.col("wording"))).join(frequency, "form", "left")
+    return _in_batches(v.select("symptom", "wording", "n"), run, "probe string, key string, symptom string, frequency bigint")
+
+
+def _resolved(values: DataFrame, index: DataFrame, contexts: Contexts, aliases: dict[str, str] | None, symptoms: list[str], edits: int, max_broadcast: int) -> DataFrame:
+    """typed, found (entries) of each value."""
+    alias = {s: w for s, w in (aliases or {}).items() if s in set(symptoms)}
+
+    def searcher(rows) -> SymmetricDelete:
+        out = SymmetricDelete(edits=edits, contexts=contexts, longest=longest)
+        for probe, *hit in rows:
+            out.index.setdefault(probe, []).append(tuple(hit))
+        for s, w in alias.items():
+            out.alias |= {k: s for x in w.split("; ") if (k := letters(normal(x))) not in out.alias}
+        return out
+
+    schema = "typed string, found array<string>"
+    as_batch = lambda typed, found: pa.RecordBatch.from_arrays([typed, pa.array(found, pa.list_(pa.string()))], ["typed", "found"])
+    # 200: Python's objects around a string.
+    size, longest = index.agg(F.coalesce(F.sum(F.length("probe") + F.length("key") + F.length("symptom") + 200), F.lit(0)), F.coalesce(F.max(F.when(F.startswith("probe", F.lit("e")), F.length("key"))), F.lit(0))).first()
+    if size <= max_broadcast:
+        shared = values.sparkSession.sparkContext.broadcast(searcher(map(tuple, index.collect())))
+        return _in_batches(values.select("typed"), lambda b: as_batch(b.column("typed"), [shared.value.resolve(t) for t in b.column("typed").to_pylist()]), schema)
+
+    def ask(b: pa.RecordBatch) -> pa.RecordBatch:
+        asked = _Probes(edits, contexts, longest)
+        rows = [(t, p) for t in b.column("typed").to_pylist() for p in asked.of(t)]
+        return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], pa.string()) for n in range(2)], ["typed", "probe"])
+
+    hits = _in_batches(values.select("typed"), ask, "typed string, probe string").join(index, "probe")
+    found = hits.groupBy("typed").agg(F.collect_list(F.struct("probe", "key", "symptom", "frequency")).alias("hits"))  # a value's own candidates
+
+    def look(b: pa.RecordBatch) -> pa.RecordBatch:
+        each = zip(b.column("typed").to_pylist(), b.column("hits").to_pylist())
+        return as_batch(b.column("typed"), [searcher(tuple(h.values()) for h in hs or ()).resolve(t) for t, hs in each])
+
+    return _in_batches(values.select("typed").join(found, "typed", "left"), look, schema)
+
+
+def map_terms(
+    results: DataFrame, vocabulary: DataFrame, aliases: dict[str, str] | None = None, edits: int = 3, max_broadcast: int = MAX_BROADCAST, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """extraction_id, term_no, typed, symptom, listed: one row for every entry a typed element means, else ``unmatched``;
+    listed: whether the element is, trimmed and in lower case, a wording of the list.
+
+    ``aliases``: entry -> further wordings (``"a; b"``, # for a number) that no edit distance reaches; none by default.
+    Defined results: NULL and blank elements, NULL and empty lists give no row; an element that is a
+    wording of the list gives its entry (the smallest, should several have it); repeated elements and rows each give
+    their rows; very long elements are read whole (none is within the edit distance of a short wording); extra columns are ignored.
+    """
+    terms = typed_terms(results)
+    values = stored(terms.groupBy("typed").agg(F.count("*").alias("n")).withColumn("form", _listed_form(F.col("typed"))), "typed-values")
+    entries = _vocabulary(vocabulary).groupBy(_listed_form(F.col("wording")).alias("form")).agg(F.min("symptom").alias("entry"))
+    known = stored(values.join(entries, "form", "left"), "known-values")
+    frequency = known.where("entry is not null").groupBy("form").agg(F.sum("n").alias("n"))
+    unknown = known.where("entry is null")
+    contexts = learn_contexts(unknown, vocabulary)
+    index = stored(index_table(vocabulary, frequency, edits), "deletes")
+    symptoms = [r.symptom for r in vocabulary.select("symptom").where(F.col("symptom").isin(list(aliases))).distinct().collect()] if aliases else []
+    # Dealt out by a hash, so that no task has most of the values.
+    spread_out = unknown.repartition(values.sparkSession.sparkContext.defaultParallelism) if unknown.count() else unknown
+    found = _resolved(spread_out, index, contexts, aliases, symptoms, edits, max_broadcast)
+    looked_up = found.select("typed", F.when(F.size("found") > 0, F.col("found")).otherwise(F.array(F.lit(UNMATCHED))).alias("found"), F.lit(False).alias("listed"))
+    listed = known.where("entry is not null").select("typed", F.array("entry").alias("found"), F.lit(True).alias("listed"))
+    answers = stored(looked_up.unionByName(listed), "resolved")
+    # A value typed in very many rows travels to them: there are no more of those than rows / rows_per_task.
+    hot = values.where(F.col("n") > rows_per_task).select("typed")
+    if hot.isEmpty():
+        joined = terms.join(answers, "typed")
+    else:
+        often = answers.join(hot, "typed", "left_semi")
+        joined = terms.join(F.broadcast(often), "typed").unionByName(
+            terms.join(F.broadcast(hot), "typed", "left_anti").join(answers.join(hot, "typed", "left_anti"), "typed")
+        )
+    return joined.select("extraction_id", "term_no", "typed", F.explode("found").alias("symptom"), "listed")
 
 
 def dirty_terms(results: DataFrame, vocabulary: DataFrame, **kwargs) -> DataFrame:

@@ -3,7 +3,9 @@
 import random
 import string
 
+import duckdb
 import pytest
+from oracle import DATA
 from pyspark.sql import functions as F
 
 from caseloom.llm import vocabulary as v
@@ -12,7 +14,9 @@ WORDS = [
     ("fever", "fever"), ("fever", "high temperature"), ("fever", "feverish"), ("headache", "headache"), ("headache", "head pain"), ("cough", "cough"), ("cough", "dry cough"), ("nausea", "feeling sick"),
     ("vomiting", "being sick"), ("eye pain", "eye pain"), ("earache", "ear pain"), ("shortness of breath", "shortness of breath"), ("swollen glands", "swollen lymph nodes"), ("dark urine", "dark urine"), ("abdominal cramps", "abdominal cramps"),
 ]
-DICT = v.SymmetricDelete(WORDS, {"eye pain": 5, "ear pain": 1})
+CONTEXTS = v.Contexts(frozenset({"pt c/o", "severe", "had"}), frozenset({"x# days", "x# d", "; resolved today", "day #"}))
+ALIASES = {"shortness of breath": "sob", "fever": "temp #; thermometer read #"}
+DICT = v.SymmetricDelete(WORDS, {"eye pain": 5, "ear pain": 1}, ALIASES, contexts=CONTEXTS)
 
 
 @pytest.mark.parametrize(
@@ -29,8 +33,8 @@ def test_resolve(typed, want):
 
 
 def test_ties_go_to_the_more_frequent_wording():
-    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")], {"tuvwam": 3}, {}).resolve("tuvwaz") == ["b"]
-    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")], {}, {}).resolve("tuvwaz") == ["a"]
+    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")], {"tuvwam": 3}).resolve("tuvwaz") == ["b"]
+    assert v.SymmetricDelete([("a", "tuvwah"), ("b", "tuvwam")]).resolve("tuvwaz") == ["a"]
 
 
 def brute(a, b):
@@ -97,6 +101,59 @@ def test_empty_tables(spark):
     assert [x.symptom for x in v.map_terms(r, w.limit(0)).collect()] == ["unmatched"]
 
 
-def test_the_list_is_bounded(spark):
-    with pytest.raises(ValueError):
-        v.dictionary(*frames(spark, []), max_wordings=3)
+def lists():
+    """The list of the data: its wordings, and of those with six letters at least, by entry."""
+    rows = duckdb.sql(f"SELECT symptom, wording FROM '{DATA}/sf0.01/symptom_vocabulary.parquet'").fetchall()
+    return rows, [(s, w) for s, w in rows if len(v.letters(v.normal(w))) >= 6]
+
+
+def edited(rng, word, n):
+    for _ in range(n):
+        i, c = rng.randrange(len(word)), rng.choice(string.ascii_lowercase)
+        kind = rng.choice("dirs")
+        word = word[:i] + {"d": "", "i": c + word[i], "r": c, "s": word[i + 1 : i + 2] + word[i]}[kind] + word[i + 1 + (kind == "s") :]
+    return word
+
+
+def test_held_out_wordings_with_random_edits():
+    rows, long_ones = lists()
+    rng = random.Random(21)
+    index = v.SymmetricDelete(rows)
+    asked = [(s, edited(rng, w, 1 if len(w) < 12 else 2)) for s, w in long_ones for _ in range(4)]
+    right = sum(index.resolve(t) == [s] for s, t in asked)
+    assert right >= 0.9 * len(asked)
+    letters_ = lambda n: "".join(rng.choice(string.ascii_lowercase) for _ in range(n))
+    assert sum(bool(index.resolve(letters_(rng.randint(6, 14)))) for _ in range(300)) <= 3
+
+
+def noisy(rng, rows):
+    words = [w for _, w in rows]
+    before, after = ["pt c/o ", "mild ", "", "", ""], [" x3 days", " since monday", "; resolved", "", "", ""]
+    one = lambda: rng.choice(before) + edited(rng, rng.choice(words), rng.choice([0, 0, 1])) + rng.choice(after)
+    return [(i, [one() for _ in range(3)] + [rng.choice(["broken wrist", "cough", " Cough\t", "no cough", None])]) for i in range(400)]
+
+
+def test_contexts_are_learnt_and_joining_gives_what_broadcasting_gives(spark):
+    rows, _ = lists()
+    results = spark.createDataFrame(noisy(random.Random(2), rows), RESULTS)
+    words = spark.createDataFrame(rows, "symptom string, wording string")
+    values = v.typed_terms(results).select("typed").distinct()
+    contexts = v.learn_contexts(values, words)
+    assert {"pt c/o", "mild"} <= contexts.before and {"x# days", "since monday", "; resolved"} <= contexts.after and "no" not in contexts.before
+    all_rows = lambda **kw: sorted(map(str, v.map_terms(results, words, **kw).collect()))
+    whole = all_rows()
+    assert len(whole) >= 1_500 and sum("unmatched" in r for r in whole) < 300
+    assert all_rows(max_broadcast=0) == whole  # the dictionary as a table
+    assert all_rows(rows_per_task=20) == whole  # values typed often travel to their rows
+
+
+def test_aliases_are_a_parameter(spark):
+    r, w = frames(spark, [(1, ["SOB", "temp 39.4"])])
+    assert [x.symptom for x in v.map_terms(r, w).collect()] == ["unmatched"] * 2
+    assert sorted(x.symptom for x in v.map_terms(r, w, aliases=ALIASES | {"unlisted": "dog bite"}).collect()) == ["fever", "shortness of breath"]
+
+
+def test_listed_wordings_are_found_under_one_trimming(spark):
+    r, w = frames(spark, [(1, ["\tFEVER \n", "fever\u00a0"])])
+    got = {x.term_no: (x.symptom, x.listed) for x in v.map_terms(r, w).collect()}
+    assert got == {1: ("fever", True), 2: ("fever", False)}
