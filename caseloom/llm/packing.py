@@ -1,15 +1,17 @@
 """Problem 7: filling fixed-capacity containers with items.
 
-Texts (in tokens) are spread over partitions of bounded size and each partition is packed with
-best-fit decreasing. Lower bounds from dual feasible functions certify a partition, or a group of them,
-whose number of containers cannot be beaten. Partitions hand over the texts of their containers with
-room left and meet in groups; a group whose containers are not certified runs best-fit decreasing again,
-and keeps its old containers unless the new ones are fewer, so no round makes anything worse.
+Texts (in tokens) above the capacity are cut: their whole containers are full and need no packing, only the
+rests do. Those are spread over partitions of bounded size and each partition is packed with best-fit
+decreasing. Partitions meet in groups, wider ones in each round. Lower bounds from dual feasible functions
+certify a group whose number of containers cannot be beaten; it is left as it is. In a group with a gap the
+partitions hand over the texts of their containers with room left, and best-fit decreasing runs again on them; the
+old containers are kept unless the new ones are fewer, so no round makes anything worse.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,8 +24,8 @@ from caseloom.session import stored
 #: Texts of a partition on average; what one task holds.
 PER_PARTITION = 20_000
 
-#: More capacities than this are refused.
-MAX_CAPACITIES = 1_000
+#: Capacities that one expression holds; more are taken in several.
+CAPACITIES_AT_ONCE = 500
 
 
 def lower_bound(sizes: dict[int, int], capacity: int, steps: int = 20) -> int:
@@ -105,20 +107,35 @@ def _pack(g: pd.DataFrame) -> pd.DataFrame:
     return g[[c.split()[0] for c in _SCHEMA.split(", ")]]
 
 
-def pieces(sized: DataFrame, capacities: DataFrame) -> DataFrame:
-    """capacity_id, capacity, doc_id, piece_no, tokens, place: texts above the capacity cut into whole containers and a rest."""
-    caps = [(r.capacity_id, r.capacity_tokens) for r in capacities.where("capacity_tokens > 0").select("capacity_id", "capacity_tokens").distinct().orderBy("capacity_id").limit(MAX_CAPACITIES + 1).collect()]
-    if len(caps) > MAX_CAPACITIES:
-        raise ValueError(f"more than {MAX_CAPACITIES} capacities")
-    array = F.array(*[F.struct(F.lit(i).cast("int").alias("capacity_id"), F.lit(c).cast("int").alias("capacity")) for i, c in caps])
-    if not caps:
-        array = F.array().cast("array<struct<capacity_id:int,capacity:int>>")
+def pieces(sized: DataFrame, capacities: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(full, rests): capacity_id, capacity, doc_id, place, piece_no, tokens of the whole containers of texts above the
+    capacity, and of what is left of each text (all of it, where it fits)."""
+    caps = [(r.capacity_id, r.capacity_tokens) for r in capacities.where("capacity_tokens > 0").select("capacity_id", "capacity_tokens").distinct().orderBy("capacity_id").collect()]
+    groups = [caps[k : k + CAPACITIES_AT_ONCE] for k in range(0, len(caps), CAPACITIES_AT_ONCE)] or [[]]
+    kind = "array<struct<capacity_id:int,capacity:int>>"
+    array = lambda g: F.array(*[F.struct(F.lit(i).cast("int").alias("capacity_id"), F.lit(c).cast("int").alias("capacity")) for i, c in g]).cast(kind)
     # As text, a NULL among the ids does not make numbers of floating point of the others in pandas.
-    each = sized.select(F.col("doc_id").cast("string").alias("doc_id"), "tokens", "place", F.inline(array))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("tokens") / F.col("capacity")))
-    return each.select(
-        "capacity_id", "capacity", "doc_id", "tokens", "place", F.explode(F.sequence(F.lit(1), parts.cast("int"))).alias("piece_no")
-    ).withColumn("tokens", F.least(F.col("capacity"), F.col("tokens") - (F.col("piece_no") - 1) * F.col("capacity")).cast("bigint"))
+    each = reduce(DataFrame.unionByName, [sized.select(F.col("doc_id").cast("string").alias("doc_id"), "tokens", "place", F.inline(array(g))) for g in groups])
+    whole = F.floor(F.col("tokens") / F.col("capacity")).cast("int")
+    columns = ["capacity_id", "capacity", "doc_id", "place", "piece_no"]
+    full = each.where(F.col("tokens") >= F.col("capacity")).select(*columns[:4], F.explode(F.sequence(F.lit(1), whole)).alias("piece_no"), F.col("capacity").cast("bigint").alias("tokens"))
+    rest = (F.col("tokens") - whole * F.col("capacity")).cast("bigint")
+    rests = each.withColumns({"piece_no": whole + 1, "rest": rest}).where((F.col("rest") > 0) | (F.col("tokens") == 0)).select(*columns, F.col("rest").alias("tokens"))
+    return full, rests
+
+
+def uncertified(packed: DataFrame) -> DataFrame:
+    """capacity_id, group, gap: the groups of partitions with more containers than the lower bound of all their items."""
+    histogram = packed.groupBy("capacity_id", "group", "capacity", "tokens").count()  # no more rows a group than the capacity has sizes
+
+    def bound(g: pd.DataFrame) -> pd.DataFrame:
+        sizes = dict(zip(g["tokens"].tolist(), g["count"].tolist()))
+        first = g.iloc[0]
+        return pd.DataFrame({"capacity_id": [first["capacity_id"]], "group": [first["group"]], "bound": [lower_bound(sizes, int(first["capacity"]))]})
+
+    bounds = histogram.groupBy("capacity_id", "group").applyInPandas(bound, "capacity_id int, group bigint, bound bigint")
+    boxes = packed.groupBy("capacity_id", "group", "shard", "box").agg(F.lit(1).alias("one")).groupBy("capacity_id", "group").agg(F.count("*").alias("boxes"))
+    return stored(boxes.join(bounds, ["capacity_id", "group"]).where("boxes > bound").select("capacity_id", "group", (F.col("boxes") - F.col("bound")).alias("gap")), "gaps")
 
 
 def pack_documents(
@@ -130,30 +147,38 @@ def pack_documents(
     tokens; only a text above the capacity is cut; copies and repeated rows are items of their own;
     ties in size go by doc_id; an empty table gives no rows.
     """
-    sized = stored(with_tokens(documents, ["doc_id"], tokenizer=tokenizer), "token-counts")
-    shards = max(1, -(-sized.count() // per_partition))
-    # Dealt out by id and place in the stored table, so that repeated ids do not meet in one partition.
-    home = F.pmod(F.xxhash64("doc_id", "piece_no", "place"), F.lit(shards))
-    items = pieces(sized.withColumn("place", F.monotonically_increasing_id()), capacities).withColumns({
-        "home": home, "shard": home, "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint"),
-    })
+    counted = stored(with_tokens(documents, ["doc_id"], tokenizer=tokenizer), "token-counts")
+    shards = max(1, -(-counted.count() // per_partition))
+    full, rests = pieces(counted.withColumn("place", F.monotonically_increasing_id()), capacities)
+    # A text has one rest at most, so a partition has as many items as texts. Dealt out by id and place in the
+    # stored table, so that repeated ids do not meet in one partition.
+    home = F.pmod(F.xxhash64("doc_id", "place"), F.lit(shards))
+    items = rests.withColumns({"home": home, "shard": home, "old_shard": F.lit(-1).cast("bigint"), "box": F.lit(-1).cast("bigint")})
     packed = stored(items.groupBy("capacity_id", "shard").applyInPandas(_pack, _SCHEMA), "packed-0")
     for n in range(1, rounds + 1):
         if merge ** (n - 1) >= shards:  # all partitions have met
             break
-        # Every partition may waste most of one container, certified or not, so all with a real gap take part;
-        # later rounds join more partitions and take only emptier containers.
-        open_boxes = F.col("room") * F.lit(max(1, 64 // 4 ** (n - 1))) > F.col("capacity")
+        group = F.floor(F.col("home") / F.lit(merge**n))
+        gaps = uncertified(packed.withColumn("group", group))
+        if gaps.isEmpty():
+            continue  # wider groups may have one
+        # Later rounds join more partitions and take only emptier containers.
+        with_gap = packed.withColumn("group", group).join(F.broadcast(gaps), ["capacity_id", "group"], "left")  # one row a group
+        open_boxes = F.col("gap").isNotNull() & (F.col("room") * F.lit(max(1, 64 // 4 ** (n - 1))) > F.col("capacity"))
         again = (
-            packed.where(open_boxes)
-            .withColumns({"old_shard": F.col("shard"), "shard": F.floor(F.col("home") / F.lit(merge**n)) + F.lit(n * shards)})
+            with_gap.where(open_boxes)
+            .withColumns({"old_shard": F.col("shard"), "shard": F.col("group") + F.lit(n * shards)})
             .groupBy("capacity_id", "shard")
             .applyInPandas(_pack, _SCHEMA)
         )
-        packed = stored(packed.where(~open_boxes).unionByName(again), f"packed-{n}")
-    return packed.select(
+        packed = stored(with_gap.where(~open_boxes).select(*packed.columns).unionByName(again), f"packed-{n}")
+    cut = full.select(
+        "capacity_id", "capacity", F.concat_ws("/", "capacity_id", F.lit("full"), "place", "piece_no").alias("container_id"), "doc_id", "piece_no", "tokens", F.lit(0).cast("bigint").alias("room")
+    )
+    filled = packed.select("capacity_id", "capacity", F.concat_ws("/", "capacity_id", "shard", "box").alias("container_id"), "doc_id", "piece_no", "tokens", "room")
+    return filled.unionByName(cut).select(
         "capacity_id",
-        F.concat_ws("/", "capacity_id", "shard", "box").alias("container_id"),
+        "container_id",
         F.col("doc_id").cast("bigint").alias("doc_id"),
         "piece_no",
         ((F.col("piece_no") - 1) * F.col("capacity")).cast("bigint").alias("start_token"),

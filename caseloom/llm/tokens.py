@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Iterator
 
@@ -9,8 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A tokenizer file that every executor can read; a parameter of the operators.
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: A tokenizer file that every executor can read; a parameter of the operators. Ranks (``.tiktoken``) are the fastest.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+#: Fixed value: how the byte-level vocabularies split a text before merging.
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _loaded: dict = {}
 
@@ -18,7 +22,14 @@ _loaded: dict = {}
 def _counter(path: str):
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        if path.endswith(".model"):
+        if path.endswith(".tiktoken"):
+            import tiktoken
+
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            encoding = tiktoken.Encoding(os.path.basename(path), pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+            _loaded[path] = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+        elif path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)

@@ -105,6 +105,25 @@ def test_exchange_between_partitions_saves_containers(spark):
     assert report.containers == n(together) >= report.lower_bound and report.fullest <= 64
 
 
+def test_certified_groups_do_not_exchange(spark):
+    # Pairs of 40 and 24 fill a container of 64; only the second group of partitions has a gap, of one.
+    rows = [(1, 0, 64, s, b, t) for s in (0, 1) for b in range(3) for t in (40, 24)] + [(1, 1, 64, s, 0, 20) for s in (2, 3)]
+    df = spark.createDataFrame(rows, "capacity_id int, group long, capacity int, shard long, box long, tokens long")
+    assert [tuple(r) for r in packing.uncertified(df).collect()] == [(1, 1, 1)]
+
+
+def test_whole_containers_of_long_texts_are_not_packed(spark):
+    sized = spark.createDataFrame([(1, 1_000, 0), (2, 128, 1), (3, 5, 2), (4, 0, 3), (5, 64, 4)], "doc_id long, tokens long, place long")
+    full, rests = packing.pieces(sized, spark.createDataFrame([(1, 64)], CAPS))
+    assert sorted((r.doc_id, r.piece_no) for r in full.collect()) == [("1", k) for k in range(1, 16)] + [("2", 1), ("2", 2), ("5", 1)]
+    assert sorted((r.doc_id, r.piece_no, r.tokens) for r in rests.collect()) == [("1", 16, 40), ("3", 1, 5), ("4", 1, 0)]
+
+
+def test_any_number_of_capacities(spark):
+    caps = [(i, 10 + i) for i in range(packing.CAPACITIES_AT_ONCE + 3)]
+    assert run(spark, [(1, "word " * 5)], caps).select("capacity_id").distinct().count() == len(caps)
+
+
 def test_start_tokens_cover_a_cut_text(spark):
     got = sorted((r.piece_no, r.start_token, r.tokens) for r in run(spark, [(1, "word " * 300)], [(1, 100)]).collect())
     assert all(a[1] + a[2] == b[1] for a, b in itertools.pairwise(got)) and got[0][1] == 0
