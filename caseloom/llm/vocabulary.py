@@ -17,7 +17,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import permutations
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,6 +46,8 @@ _PARTS = re.compile(r"\s*(?:,|;|/|&|\+|\band\b|\bwith\b|\bplus\b)\s*")
 _SOUNDS = [("tion", "shun"), ("sion", "shun"), ("ough", "off"), ("ph", "f"), ("ch", "k"), ("ck", "k"), ("qu", "kw"), ("x", "ks"), ("c", "k"), ("ea", "ee"), ("y", "ie")]
 _NEAR = {frozenset(p) for row in ("qwertyuiop", "asdfghjkl", "zxcvbnm") for p in zip(row, row[1:])}
 _ALIKE = {frozenset(p) for p in ("ae", "ei", "iy", "ou", "ao", "ck", "sz", "fv", "bp", "dt", "mn", "gj", "ui", "eo", "ie")}
+#: Letters taken for each other: those that sound alike, those beside each other on the keyboard.
+_CHANGE = {x + y: w for pairs, w in ((_NEAR, 0.8), (_ALIKE, 0.6)) for p in pairs for x, y in permutations(p)}
 
 
 def normal(text: str) -> str:
@@ -126,9 +128,10 @@ def sound(key: str) -> str:
 
 def deletes(key: str, most: int) -> set[str]:
     """The string and what is left of it after up to ``most`` deletions."""
-    out = {key}
-    for n in range(1, most + 1):
-        out |= {"".join(c for i, c in enumerate(key) if i not in gone) for gone in map(set, combinations(range(len(key)), n))}
+    out = last = {key}
+    for _ in range(most):
+        last = {s[:i] + s[i + 1 :] for s in last for i in range(len(s))}
+        out = out | last
     return out
 
 
@@ -138,29 +141,37 @@ def weighted_distance(a: str, b: str, bound: float) -> float:
     Above ``bound`` any larger number."""
     if abs(len(a) - len(b)) > 2 * bound:
         return bound + 1
-    step = lambda s, i: 0.5 if i and s[i - 1] == s[i] else 1.0  # noqa: E731  a doubled letter
+    step = lambda s: [0.5 if i and s[i - 1] == x else 1.0 for i, x in enumerate(s)]  # noqa: E731  a doubled letter
+    insert = step(b)
     top = [0.0]
-    for j in range(len(b)):
-        top.append(top[-1] + step(b, j))
+    for w in insert:
+        top.append(top[-1] + w)
     d = [top]
     row_of: dict[str, int] = {}  # where a letter of b was last seen in a
-    for i, x in enumerate(a):
-        gap = step(a, i)
-        row, above = [d[i][0] + gap], d[i]
+    for i, (x, gap) in enumerate(zip(a, step(a))):
+        above = d[i]
+        left = above[0] + gap
+        row = [left]
         last_same = -1
         for j, y in enumerate(b):
-            pair = frozenset((x, y))
-            change = 0.0 if x == y else 0.6 if pair in _ALIKE else 0.8 if pair in _NEAR else 1.0
-            v = min(above[j] + change, above[j + 1] + gap, row[j] + step(b, j))
-            k = row_of.get(y, -1)
-            if x != y and k >= 0 and last_same >= 0:
-                v = min(v, d[k][last_same] + (i - k - 1) + 0.8 + (j - last_same - 1))
+            if x == y:
+                v = above[j]
+            else:
+                v = above[j] + _CHANGE.get(x + y, 1.0)
+                k = row_of.get(y, -1)
+                if k >= 0 and last_same >= 0 and (w := d[k][last_same] + (i - k - 1) + 0.8 + (j - last_same - 1)) < v:
+                    v = w
+            if (w := above[j + 1] + gap) < v:
+                v = w
+            if (w := left + insert[j]) < v:
+                v = w
             if x == y:
                 last_same = j
+            left = v
             row.append(v)
         row_of[x] = i
         d.append(row)
-        if min(row) > bound and min(d[i]) > bound:
+        if min(row) > bound and min(above) > bound:
             return bound + 1
     return d[-1][-1]
 

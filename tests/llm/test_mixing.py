@@ -1,6 +1,7 @@
 """Problem 8: target shares of sources."""
 
 import random
+import time
 from collections import Counter
 from fractions import Fraction
 
@@ -64,6 +65,36 @@ def test_a_copied_text_counts_once(spark):
     assert [(r.doc_id, r.repeats) for r in a] == [(0, 2)]
 
 
+def test_many_shards_keep_shares_and_caps(spark):
+    targets = [("big", 0.6, 1), ("small", 0.4, 5)]
+    one, _ = mix(spark, corpus(), targets)
+    total = lambda m: {r.source: r.n for r in m.groupBy("source").agg(F.sum(F.col("tokens") * F.col("repeats")).alias("n")).collect()}
+    many, report = mix(spark, corpus(), targets, shard_tokens=400)
+    a, b = total(one), total(many)
+    assert all(abs(a[s] - b[s]) < 0.04 * a[s] for s in a)
+    r = {x.source: x for x in report.collect()}
+    assert abs(r["big"].reached_share - 0.6) < 0.02 and r["big"].most_repeats == 1 and r["small"].most_repeats <= 5
+
+
+def test_shards_within_a_group_share_its_quota(spark):
+    held = spark.createDataFrame([("a", 0, 0, 640), ("a", 0, 1024, 320), ("a", 0, 2048, 64), ("a", 1, 1, 100)], "source string, group long, shard long, held long")
+    groups = spark.createDataFrame([("a", 0, 512), ("a", 1, 64)], "source string, group long, quota long")
+    got = {r.shard: r.quota for r in mixing.shard_quotas(held, groups, {"a": 1}, 64).collect()}
+    assert got == {0: 320, 1024: 192, 2048: 0, 1: 64} or (sum(got.values()) == 576 and all(q % 64 == 0 for q in got.values()) and got[0] >= got[1024] >= got[2048])
+
+
+def test_rows_of_one_target_source_add_up(spark):
+    t = spark.createDataFrame([("Big", 0.3, 4), ("big ", 0.4, 2), (None, 0.3, 1), ("small", -1.0, None)], TARGETS)
+    assert mixing._targets(t) == {"big": (0.7, 2), "small": (0.0, 0)}
+
+
+def test_quotas_of_many_shards_take_no_time():
+    held = {(f"s{n}", i): 1_000 + i % 7 for n in range(200) for i in range(1_024)}
+    began = time.time()
+    q = mixing.quotas({f"s{n}": (1.0, 1) for n in range(200)}, held)
+    assert time.time() - began < 20 and sum(q.values()) > 0.9 * sum(held.values())
+
+
 def test_same_seed_same_mixture(spark):
     one, two, other = (sorted(map(str, mix(spark, corpus(), [("big", 0.5, 1), ("small", 0.5, 1)], seed=s)[0].collect())) for s in (1, 1, 2))
     assert one == two != other
