@@ -10,6 +10,8 @@ COUNTIES = ["Alderbrook", "Fennmoor", "Quarrydale", "Redthorn", "Ostergate", "Um
 CONDITIONS = [("990014007", "Norovirus infection", 1.6), ("990022003", "Campylobacteriosis", 0.9), ("990063002", "RSV infection", 1.3), ("990096000", "Measles", 0.2), ("990108004", "Tuberculosis", 0.3), ("990127001", "Dengue", 0.15)]
 SYMPTOMS = ["fever", "cough", "nausea", "diarrhea", "fatigue", "sore throat", "abdominal cramps", "myalgia"]
 PLACES = ["wedding buffet", "swimming lake", "petting farm", "street market", "care home"]
+NAMES = ["Harbour", "Millbrook", "Larkfield", "Stonegate", "Westmere"]
+KINDS = ["Hospital", "Clinic", "Laboratory", "Health Centre"]
 WEEKEND = 0.45
 
 
@@ -25,7 +27,8 @@ def choice(values: list[str], *parts, salt: str, seed: int) -> Column:
 def facilities(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
     f = spark.range(1, n + 1).select(F.format_string("FX%06d", "id").alias("facility_id"), "id")
     return f.select(
-        "facility_id", F.element_at(F.array(*map(F.lit, COUNTIES)), (F.col("id") % len(COUNTIES) + 1).cast("int")).alias("county"),
+        "facility_id", F.concat(choice(NAMES, "id", salt="name", seed=seed), F.lit(" "), choice(KINDS, "id", salt="kind", seed=seed), F.lit(" "), F.col("id").cast("string")).alias("name"),
+        F.element_at(F.array(*map(F.lit, COUNTIES)), (F.col("id") % len(COUNTIES) + 1).cast("int")).alias("county"),
         (0.7 + 1.5 * uniform("id", salt="volume", seed=seed)).alias("volume"),
     )
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,6 +15,7 @@ from caseloom.functions.keys import is_weekend, surrogate_key
 GROUPS = {"enteric": ("Salmonellosis", "Shigellosis", "Hepatitis A"), "respiratory": ("Influenza", "COVID-19", "Pertussis")}
 SPINE = ("2025-11-03", "2026-06-30")
 STALE_AFTER_DAYS, BASELINE_MIN_DAYS = 14, 21
+CONDITIONS_AT_ONCE = 10_000
 
 
 def staging(cases: DataFrame) -> DataFrame:
@@ -58,22 +62,21 @@ def daily_counts(stg: DataFrame) -> DataFrame:
 def fact_daily(stg: DataFrame, facilities: DataFrame, conditions: DataFrame, spine: tuple[str, str] = SPINE, min_days: int = BASELINE_MIN_DAYS) -> DataFrame:
     """One row per day, facility and condition of the calendar, silent ones with zeros.
 
-    Conditions are a code list (their number is checked), so they travel as one array instead of a join.
+    Conditions travel as one array, a single literal of the plan (of several, where there are more than
+    ``CONDITIONS_AT_ONCE``), so that facilities and conditions are paired without a join.
     The days a series has cases are gathered as one map (no larger than the calendar), joined to the pairs
     of facility and condition, and only then is the calendar exploded: the dense panel is already
     partitioned by series, so the windows need a sort but no shuffle. A baseline never contains its own day.
     """
-    codes = conditions.select("condition_code", "condition_name", "condition_group").orderBy("condition_code").limit(10_001).collect()
-    if len(codes) > 10_000:
-        raise ValueError("more than 10,000 conditions")
-    kinds = F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in r.asDict().items()]) for r in codes])
-    if not codes:
-        kinds = F.array().cast("array<struct<condition_code:string,condition_name:string,condition_group:string>>")
+    codes = [r.asDict() for r in conditions.select("condition_code", "condition_name", "condition_group").orderBy("condition_code").collect()]
+    kind = "array<struct<condition_code:string,condition_name:string,condition_group:string>>"
+    parts = [codes[k : k + CONDITIONS_AT_ONCE] for k in range(0, len(codes), CONDITIONS_AT_ONCE)] or [[]]
+    paired = reduce(DataFrame.unionByName, [facilities.select("facility_id", "county", F.inline(F.from_json(F.lit(json.dumps(p)), kind))) for p in parts])
     first, last = (F.lit(d).cast("date") for d in spine)
     figures = ["case_count", "distinct_patients", "mean_age_years", "retransmissions"]
     seen = daily_counts(stg).where(F.col("report_date").between(first, last))
     kept = seen.groupBy("facility_id", "condition_code").agg(F.map_from_entries(F.collect_list(F.struct("report_date", F.struct(*figures)))).alias("_seen"))
-    pairs = facilities.select("facility_id", "county", F.inline(kinds)).join(kept, ["facility_id", "condition_code"], "left")
+    pairs = paired.join(kept, ["facility_id", "condition_code"], "left")
     panel = pairs.select("*", F.explode(F.sequence(first, last)).alias("report_date")).withColumn("_day", F.col("_seen")[F.col("report_date")])
     filled = panel.select(
         "report_date", "facility_id", "county", "condition_code", "condition_name", "condition_group",

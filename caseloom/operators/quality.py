@@ -47,3 +47,34 @@ def reconcile(fact: DataFrame, stg: DataFrame, start: str, end: str) -> DataFram
 
 def no_future_dates(stg: DataFrame) -> DataFrame:
     return stg.where("report_date > ingest_date")
+
+
+def violations(name: str, broken: DataFrame) -> DataFrame:
+    """check, violations: how many rows a check returned."""
+    return broken.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
+
+
+def _not_null_rows(table: str, df: DataFrame, *columns: str) -> DataFrame:
+    return not_null(df, *columns).select(F.concat(F.lit(f"not_null {table}."), "column_name").alias("check"), "violations")
+
+
+def mart_checks(cases: DataFrame, stg: DataFrame, facilities: DataFrame, conditions: DataFrame, fact: DataFrame, rollup: DataFrame, spine: tuple[str, str]) -> DataFrame:
+    """check, violations: the 24 checks of the built marts and their source; a healthy lake has none above 0.
+
+    NULLs of a table are counted in one pass; keys are combined before they are compared."""
+    checks = [
+        _not_null_rows("ecr_cases", cases, "message_control_id", "report_date"),
+        _not_null_rows("dim_facility", facilities, "facility_sk", "facility_id"),
+        _not_null_rows("dim_condition", conditions, "condition_sk", "condition_code"),
+        _not_null_rows("fct_case_daily", fact, "case_daily_sk", "report_date", "facility_id", "condition_code", "case_count"),
+        _not_null_rows("agg_condition_daily_state", rollup, "report_date"),
+        *[violations(f"unique {t}.{c}", unique(df, c)) for t, df, cs in (("dim_facility", facilities, ("facility_sk", "facility_id")), ("dim_condition", conditions, ("condition_sk", "condition_code")), ("fct_case_daily", fact, ("case_daily_sk",))) for c in cs],
+        violations("accepted dim_facility.reporting_status", accepted_values(facilities, "reporting_status", ["active", "stale"])),
+        violations("accepted dim_condition.condition_group", accepted_values(conditions, "condition_group", ["enteric", "respiratory", "other"])),
+        violations("relationship fct_case_daily.facility_id", relationships(fact, "facility_id", facilities, "facility_id")),
+        violations("relationship fct_case_daily.condition_code", relationships(fact, "condition_code", conditions, "condition_code")),
+        violations("range fct_case_daily.case_count", accepted_range(fact, "case_count", least=0)),
+        violations("gold reconciles silver", reconcile(fact, stg, *spine)),
+        violations("no future report dates", no_future_dates(stg)),
+    ]
+    return reduce(DataFrame.unionByName, checks)

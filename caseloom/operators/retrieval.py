@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from caseloom.session import create_file, delete_path, read_file, stored
+
 #: Fixed values.
 STOP_WORDS = (
     "a an and are as at be by for from has have if in into is it its of on or "
@@ -18,8 +21,8 @@ TITLE_BOOST, K1, B, FLOOR = 3, 1.5, 0.75, 5.0
 REFUSAL = "INSUFFICIENT_CONTEXT"
 CITATION = r"\[(doc-[\w-]+)\]"
 
-#: More query terms than this are refused: they are sent to every task.
-MAX_TERMS = 10_000
+#: Query terms that are broadcast to the corpus; more are joined as Spark sees fit.
+BROADCAST_TERMS = 100_000
 
 
 def tokens(text: Column) -> Column:
@@ -41,32 +44,78 @@ def doc_frequency(corpus: DataFrame) -> DataFrame:
     return each.groupBy("term").agg(F.count("*").alias("doc_freq"))
 
 
+def query_terms(queries: DataFrame) -> DataFrame:
+    """query_id, term, qtf: how often a query has a term."""
+    return queries.select("query_id", F.explode(tokens(F.col("question"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
+
+
+def _scored(postings: DataFrame, wanted: DataFrame, n: int, avg_len: float) -> DataFrame:
+    """query_id, id, score > 0. postings: id, len, term, tf of the wanted terms. A query term counts as often as the query has it."""
+    freq = postings.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.ln(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.lit(avg_len or 1.0)))
+    weights = wanted.join(freq, "term")
+    return postings.join(weights, "term").groupBy("query_id", "id").agg(F.sum(part * F.col("qtf")).alias("score")).where("score > 0")
+
+
+def _of_terms(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of wanted terms; few terms travel to the rows, so that no other row is moved."""
+    terms = wanted.select("term").distinct()
+    return rows.join(F.broadcast(terms) if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS else terms, "term", "left_semi")
+
+
 def bm25_scores(corpus: DataFrame, queries: DataFrame) -> DataFrame:
     """query_id, id, score > 0. corpus: id, title, text; queries: query_id, question.
 
-    A document's length and the counts of the queries' terms are taken in one pass over the corpus;
-    other terms never leave the scan. A query term counts as often as the query has it.
+    One pass over the corpus takes its size, the lengths and the counts of the queries' terms; other terms
+    never leave the scan. For many batches of queries build a :class:`Bm25Index` once.
     """
-    wanted = queries.select("query_id", F.explode(tokens(F.col("question"))).alias("term")).groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
-    terms = [r.term for r in wanted.select("term").distinct().limit(MAX_TERMS + 1).collect()]
-    if len(terms) > MAX_TERMS:
-        raise ValueError(f"more than {MAX_TERMS} query terms")
-    sized = corpus.select("id", doc_tokens(F.col("title"), F.col("text")).alias("toks")).select(
-        "id", F.size("toks").alias("len"), F.filter("toks", lambda t: t.isin(*terms) if terms else F.lit(False)).alias("hits")
-    )
-    size = sized.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len")).first()
-    postings = sized.select("id", "len", F.explode("hits").alias("term")).groupBy("id", "len", "term").agg(F.count("*").alias("tf"))
-    freq = postings.groupBy("term").agg(F.count("*").alias("df"))
-    n, avg = F.lit(size.n), F.lit(size.avg_len or 1.0)
-    idf = F.ln(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / avg))
-    return (
-        postings.join(F.broadcast(freq), "term")  # no more rows than MAX_TERMS
-        .join(wanted, "term")
-        .groupBy("query_id", "id")
-        .agg(F.sum(part * F.col("qtf")).alias("score"))
-        .where("score > 0")
-    )
+    wanted = stored(query_terms(queries), "query-terms")
+    if corpus.isEmpty() or wanted.isEmpty():  # what is empty is not run, and then observes nothing
+        return corpus.select(F.lit("").alias("query_id"), "id", F.lit(0.0).alias("score")).limit(0)
+    size = Observation()
+    sized = corpus.select("id", doc_tokens(F.col("title"), F.col("text")).alias("toks")).select("id", F.size("toks").alias("len"), "toks")
+    sized = sized.observe(size, F.count("*").alias("n"), F.sum("len").alias("total"))
+    hits = _of_terms(sized.select("id", "len", F.explode_outer("toks").alias("term")), wanted)
+    postings = stored(hits.groupBy("id", "len", "term").agg(F.count("*").alias("tf")), "postings")
+    return _scored(postings, wanted, size.get["n"], size.get["total"] / size.get["n"])
+
+
+class Bm25Index:
+    """Postings below a path, clustered and sorted by term, with the corpus' size: built once, searched in batches."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        facts = json.loads(read_file(spark, f"{self.path}/_corpus.json"))
+        self.n, self.avg_len = facts["n"], facts["avg_len"]
+
+    @classmethod
+    def build(cls, corpus: DataFrame, path: str) -> Bm25Index:
+        """Replaces what is at the path. The size is written last, so a broken build is no index."""
+        spark, where = corpus.sparkSession, path.rstrip("/")
+        delete_path(spark, where)
+        corpus.write.parquet(f"{where}/documents")
+        kept = spark.read.parquet(f"{where}/documents")
+        sized = kept.select("id", doc_tokens(F.col("title"), F.col("text")).alias("toks")).select("id", F.size("toks").alias("len"), "toks")
+        # Every document has a row, with a NULL term where it has no token, so the sizes can be read back.
+        counted = sized.select("id", "len", F.explode_outer("toks").alias("term")).groupBy("id", "len", "term").agg(F.count("*").alias("tf"))
+        # By ranges of terms: a term of very many documents is split over tasks, and row groups tell their terms.
+        counted.repartitionByRange(F.col("term"), F.xxhash64("id")).sortWithinPartitions("term").write.parquet(f"{where}/postings")
+        total = spark.read.parquet(f"{where}/postings").where("term is not null").agg(F.sum("tf").alias("total")).first().total or 0
+        n = kept.count()
+        create_file(spark, f"{where}/_corpus.json", json.dumps({"n": n, "avg_len": total / n if n else 1.0}))
+        return cls(spark, where)
+
+    def corpus(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/documents")
+
+    def scores(self, queries: DataFrame) -> DataFrame:
+        """As :func:`bm25_scores`, without reading the corpus."""
+        wanted = stored(query_terms(queries), "query-terms")
+        return _scored(_of_terms(self.spark.read.parquet(f"{self.path}/postings"), wanted), wanted, self.n, self.avg_len)
+
+    def search(self, queries: DataFrame, k: int = 3) -> DataFrame:
+        return top_k(self.scores(queries), k)
 
 
 def top_k(scores: DataFrame, k: int = 3) -> DataFrame:
@@ -122,9 +171,9 @@ def enforce_citations(answers: DataFrame) -> DataFrame:
     )
 
 
-def answer_questions(corpus: DataFrame, queries: DataFrame, k: int = 3, floor: float = FLOOR) -> DataFrame:
-    """Grounded answers with the offline backend for a batch of questions."""
-    hits = top_k(bm25_scores(corpus, queries), k)
+def answer_questions(corpus: DataFrame, queries: DataFrame, k: int = 3, floor: float = FLOOR, hits: DataFrame | None = None) -> DataFrame:
+    """Grounded answers with the offline backend for a batch of questions. ``hits``: of an index or a remote search, else found here."""
+    hits = top_k(bm25_scores(corpus, queries), k) if hits is None else hits
     sure = confidence(queries, hits, floor)
     found = hits.groupBy("query_id").agg(F.collect_set("id").alias("retrieved"), F.min_by("id", "rank").alias("first_id"))  # k each
     texts = corpus.select(F.col("id").alias("first_id"), "text")

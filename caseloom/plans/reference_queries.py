@@ -12,7 +12,7 @@ from caseloom.functions.keys import age_band, age_years, date_spine, surrogate_k
 from caseloom.operators import conform, evals, extract, features, generate, gold, metrics, quality, retrieval, signals
 from caseloom.operators.identity import payload_sha256
 from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, NOTE_TERMS, ONSET_PHRASES, QUESTIONS, TRAVEL_PHRASES, WINDOWS
-from caseloom.session import stored
+from caseloom.session import Settings, stored, work_path
 from caseloom.sources import landing
 from caseloom.sources.tables import table
 from caseloom.streaming import streams
@@ -98,8 +98,9 @@ def _stg(s, d):
 
 
 def _dims(s, d):
+    """Staging and both dimensions, each built once and stored: the fact reads them several times."""
     stg = _stg(s, d)
-    return stg, gold.dim_facility(stg), gold.dim_condition(stg, CONDITION_GROUPS)
+    return stg, stored(gold.dim_facility(stg), "dim-facility"), stored(gold.dim_condition(stg, CONDITION_GROUPS), "dim-condition")
 
 
 def _fact(s, d):
@@ -115,13 +116,13 @@ def spine(s, d):
 
 
 def dim_facility(s, d):
-    f = _dims(s, d)[1]
+    f = gold.dim_facility(_stg(s, d))
     days = ("first_reported_on", "last_reported_on")
     return f.select(*[c for c in f.columns if c not in days], *_text(*days))
 
 
 def dim_condition(s, d):
-    return _dims(s, d)[2]
+    return gold.dim_condition(_stg(s, d), CONDITION_GROUPS)
 
 
 def fact_daily(s, d):
@@ -163,6 +164,13 @@ def reconcile_check(s, d):
     return quality.reconcile(gold.fact_daily(stg, fac, con), stg, *gold.SPINE)
 
 
+def mart_checks(s, d):
+    """All checks on the marts as they are built from the cases of the directory."""
+    stg, fac, con = _dims(s, d)
+    fact = stored(gold.fact_daily(stg, fac, con), "fact")
+    return quality.mart_checks(table(s, d, "ecr_cases"), stg, fac, con, fact, gold.daily_rollup(fact), gold.SPINE)
+
+
 def future_check(s, d):
     rows = parse_messages(table(s, d, "ecr_messages")).select("row_id", "report_date", F.col("ingest_date").try_cast("date").alias("ingest_date"))
     return quality.no_future_dates(rows).select("row_id", *_text("report_date", "ingest_date"))
@@ -203,17 +211,18 @@ def _scored(s, d):
 
 
 def temporal_split(s, d):
-    train, test = features.temporal_split(_scored(s, d), 75)
+    train, test = features.temporal_split(stored(_scored(s, d), "scored"), 75)
     each = lambda df, n: df.groupBy(F.lit(n).alias("part")).agg(F.count("*").alias("n"), F.countDistinct("report_date").alias("days"), F.min("report_date").cast("string").alias("first"), F.max("report_date").cast("string").alias("last"), F.sum("label").alias("positives"))
     return each(train, "train").unionByName(each(test, "test"))
 
 
 def alert_threshold(s, d):
-    return metrics.alert_threshold(_scored(s, d), 8.0)
+    return metrics.alert_threshold(stored(_scored(s, d).select("report_date", "score"), "scored"), 8.0)
 
 
 def rule_alerts(s, d):
-    z2, z3 = metrics.rule_alerts(_scored(s, d), 2.0), metrics.rule_alerts(_scored(s, d), 3.0)
+    scored = stored(_scored(s, d).select("report_date", "baseline_z", "label"), "scored")
+    z2, z3 = metrics.rule_alerts(scored, 2.0), metrics.rule_alerts(scored, 3.0)
     one = lambda df, z: metrics.confusion(df).select(F.lit(z).alias("z"), "tp", "fp", "fn", *[R6(c).alias(c) for c in ("precision", "recall", "f1", "alerts_per_week")])
     return one(z2, 2.0).unionByName(one(z3, 3.0))
 
@@ -233,7 +242,7 @@ def brier(s, d):
 
 
 def recent_signals(s, d):
-    scored = features.recent(_scored(s, d), 14)
+    scored = features.recent(stored(_scored(s, d), "scored"), 14)
     return signals.signal_table(scored.withColumnRenamed("score", "signal_score"), threshold=0.15, version="1").select(
         "facility_id", "condition_code", "condition_name", "case_count", "signal_score", "is_signal", "threshold", "model_version", R6("baseline_z").alias("baseline_z"), *_text("report_date")
     )
@@ -282,6 +291,29 @@ def bm25_topk(s, d):
     return hits.select("query_id", "id", "rank", R6("score").alias("score"))
 
 
+def index_topk(s, d):
+    """The same hits from an index that was built and opened again."""
+    path = work_path(s, "index")
+    retrieval.Bm25Index.build(_documents(s, d), path)
+    hits = retrieval.Bm25Index(s, path).search(_questions(s), 10)
+    return hits.select("query_id", "id", "rank", R6("score").alias("score"))
+
+
+def rule_replies(s, d):
+    notes = table(s, d, "ecr_cases").select("message_control_id", F.col("clinical_note").alias("note")).where("note is not null").distinct()
+    reply = F.from_json(extract.rule_reply(F.col("note")), "symptoms array<string>, onset_date string, exposure_setting string, recent_travel boolean, confidence string")
+    return notes.select("message_control_id", reply.alias("r")).select(
+        "message_control_id", F.array_join("r.symptoms", ",").alias("symptoms"), "r.onset_date", "r.exposure_setting", "r.recent_travel", "r.confidence"
+    )
+
+
+def facts(s, d):
+    """The rule backend with validation, grounding and mapping, as the settings choose it."""
+    notes = table(s, d, "ecr_cases").groupBy("message_control_id").agg(F.max("clinical_note").alias("note"))
+    out = extract.extract_all(notes, "message_control_id", Settings())
+    return out.select("message_control_id", F.array_join("symptoms_mapped", ",").alias("symptoms_mapped"), F.col("onset_date").cast("string").alias("onset_date"), "exposure_setting", "recent_travel", "extraction_failed", "attempts")
+
+
 def refusal_floor(s, d):
     q = _questions(s)
     hits = retrieval.top_k(retrieval.bm25_scores(_documents(s, d), q), 3)
@@ -389,9 +421,9 @@ QUERIES = {
     for f in (
         hl7_parse, dq_rules, dq_split, dq_histogram, balance_sheet, dedupe_first, silver_cases, payload_hash, surrogate_keys, anti_ingest,
         ingested_files, age_bands, staging_positive, spine, dim_facility, dim_condition, fact_daily, daily_rollup, not_null_check, unique_check,
-        accepted_check, fk_check, range_check, reconcile_check, future_check, label_days, range_lookup, outbreak_features, temporal_split,
+        accepted_check, fk_check, range_check, reconcile_check, mart_checks, future_check, label_days, range_lookup, outbreak_features, temporal_split,
         alert_threshold, rule_alerts, confusion, ranking_metrics, brier, recent_signals, gbt_scores, permutation_importance, tokens, doc_freq,
-        bm25_topk, refusal_floor, grounded_answers, retrieval_eval, stub_extract, vocab_map, date_grounding, extraction_eval, worst_cases,
+        bm25_topk, index_topk, refusal_floor, grounded_answers, retrieval_eval, stub_extract, rule_replies, facts, vocab_map, date_grounding, extraction_eval, worst_cases,
         gates, stream_ingest, stream_daily, stream_dedupe, synthetic_messages,
     )
 }

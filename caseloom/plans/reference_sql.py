@@ -212,6 +212,12 @@ found AS (SELECT count(*) AS n_cases, round(avg(CAST(citations = expect_doc AS I
 
 _GATES = ", ".join(f"({_q(n)}, {n}, {b}::DOUBLE, {n} {'<' if kind == 'least' else '>'} {b})" for n, (kind, b) in GATES.items())
 
+_MART_KEYS = [
+    ("ecr_cases", "ecr_cases", ("message_control_id", "report_date")), ("dim_facility", "fac", ("facility_sk", "facility_id")), ("dim_condition", "con", ("condition_sk", "condition_code")),
+    ("fct_case_daily", "fact", ("case_daily_sk", "report_date", "facility_id", "condition_code", "case_count")), ("agg_condition_daily_state", "agg", ("report_date",)),
+]
+_MART_UNIQUE = [("dim_facility", "fac", ("facility_sk", "facility_id")), ("dim_condition", "con", ("condition_sk", "condition_code")), ("fct_case_daily", "fact", ("case_daily_sk",))]
+
 SQL = {
     "hl7_parse": f"""WITH {_PARSED} SELECT row_id, strftime(message_ts, '%Y-%m-%d %H:%M:%S') AS message_ts, sending_application, facility_id, message_type, message_control_id, hl7_version,
   patient_key, CAST(birth_date AS VARCHAR) AS birth_date, sex, county, state, postal_code, CAST(specimen_collection_date AS VARCHAR) AS specimen_collection_date, condition_code,
@@ -255,6 +261,16 @@ SELECT sha AS _payload_sha256, facility_id, age AS age_years, {_BAND.format('age
     "range_check": "SELECT message_control_id, age_years FROM ecr_cases WHERE age_years < 0 OR age_years > 120",
     "reconcile_check": f"""WITH {_FACT} SELECT * FROM (SELECT CAST(coalesce(sum(case_count), 0) AS BIGINT) AS gold_cases FROM fact),
   (SELECT count(*) AS silver_cases FROM stg WHERE report_date BETWEEN DATE '2025-11-03' AND DATE '2026-06-30') WHERE gold_cases <> silver_cases""",
+    "mart_checks": f"""WITH {_FACT}, agg AS (SELECT DISTINCT report_date, condition_code FROM fact), n AS (SELECT
+  (SELECT count(*) FROM (SELECT sum(case_count) AS g FROM fact), (SELECT count(*) AS c FROM stg WHERE report_date BETWEEN DATE '2025-11-03' AND DATE '2026-06-30') WHERE coalesce(g, 0) <> c) AS off)
+{" UNION ALL ".join(f"SELECT 'not_null {label}.{c}' AS check, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {t}" for label, t, cs in _MART_KEYS for c in cs)}
+UNION ALL {" UNION ALL ".join(f"SELECT 'unique {label}.{c}', count(*) FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)" for label, t, cs in _MART_UNIQUE for c in cs)}
+UNION ALL SELECT 'accepted dim_facility.reporting_status', count(DISTINCT reporting_status) FROM fac WHERE reporting_status NOT IN ('active', 'stale')
+UNION ALL SELECT 'accepted dim_condition.condition_group', count(DISTINCT condition_group) FROM con WHERE condition_group NOT IN ('enteric', 'respiratory', 'other')
+UNION ALL SELECT 'relationship fct_case_daily.facility_id', count(DISTINCT facility_id) FROM fact WHERE facility_id NOT IN (SELECT facility_id FROM fac WHERE facility_id IS NOT NULL)
+UNION ALL SELECT 'relationship fct_case_daily.condition_code', count(DISTINCT condition_code) FROM fact WHERE condition_code NOT IN (SELECT condition_code FROM con WHERE condition_code IS NOT NULL)
+UNION ALL SELECT 'range fct_case_daily.case_count', count(*) FROM fact WHERE case_count < 0
+UNION ALL SELECT 'gold reconciles silver', off FROM n UNION ALL SELECT 'no future report dates', count(*) FROM stg WHERE report_date > ingest_date""",
     "future_check": f"WITH {_PARSED} SELECT row_id, CAST(report_date AS VARCHAR) AS report_date, ingest_date FROM parsed WHERE report_date > TRY_CAST(ingest_date AS DATE)",
     "label_days": f"WITH {_LABELS} SELECT facility_id, condition_name, 1 AS is_outbreak_day, CAST(report_date AS VARCHAR) AS report_date FROM labels",
     "range_lookup": f"""WITH {_FACT}, {_LABELS}, r AS (SELECT f.report_date, f.facility_id, f.condition_name, w.multiplier, row_number() OVER (PARTITION BY f.report_date, f.facility_id, f.condition_code ORDER BY w.a) AS rn
@@ -279,6 +295,16 @@ SELECT round(CAST(sum(pos::DOUBLE / p * cp / cn) AS DOUBLE), 6) AS average_preci
     "tokens": f"SELECT doc_id AS id, array_to_string({_tokens('text')}, ' ') AS tokens FROM documents",
     "doc_freq": f"WITH {_bm25(_DOCUMENTS, DOCUMENT_QUESTIONS)} SELECT term, df AS doc_freq FROM freq",
     "bm25_topk": f"WITH {_bm25(_DOCUMENTS, DOCUMENT_QUESTIONS)} SELECT query_id, id, rank, round(score, 6) AS score FROM ranked WHERE rank <= 10",
+    "index_topk": f"WITH {_bm25(_DOCUMENTS, DOCUMENT_QUESTIONS)} SELECT query_id, id, rank, round(score, 6) AS score FROM ranked WHERE rank <= 10",
+    "rule_replies": f"""SELECT message_control_id, array_to_string({_found('n')}, ',') AS symptoms, {_onset('n')} AS onset_date,
+  nullif({_exposure('n')}, '') AS exposure_setting, {_travel('n')} AS recent_travel, 'high' AS confidence
+  FROM (SELECT DISTINCT message_control_id, clinical_note, lower(clinical_note) AS n FROM ecr_cases WHERE clinical_note IS NOT NULL)""",
+    "facts": f"""WITH n AS (SELECT message_control_id, coalesce(max(clinical_note), '') AS note, lower(coalesce(max(clinical_note), '')) AS n FROM ecr_cases GROUP BY 1),
+  f AS (SELECT *, {_onset('n')} AS onset, {_found('n')} AS symptoms FROM n),
+  g AS (SELECT *, onset IS NOT NULL AND (TRY_CAST(onset AS DATE) IS NULL OR NOT contains(note, CAST(TRY_CAST(onset AS DATE) AS VARCHAR))) AS bad FROM f)
+SELECT message_control_id, CASE WHEN bad THEN '' ELSE array_to_string({_mapped('symptoms')}, ',') END AS symptoms_mapped,
+  CASE WHEN NOT bad THEN CAST(TRY_CAST(onset AS DATE) AS VARCHAR) END AS onset_date, CASE WHEN NOT bad THEN nullif({_exposure('n')}, '') END AS exposure_setting,
+  NOT bad AND {_travel('n')} AS recent_travel, bad AS extraction_failed, 1 AS attempts FROM g""",
     "refusal_floor": f"""WITH {_bm25(_DOCUMENTS, DOCUMENT_QUESTIONS)} SELECT q.query_id, round(max(score), 6) AS best, coalesce(max(score) < 5, true) AS refused
   FROM q LEFT JOIN ranked ON ranked.query_id = q.query_id GROUP BY 1""",
     "grounded_answers": f"WITH {_ANSWERS} SELECT query_id, answer, grounded, citations FROM answers",

@@ -18,12 +18,18 @@ class Settings:
     table_format: str = "parquet"
     model_name: str = "outbreak"
     llm_backend: str = "rules"
+    llm_url: str = ""
+    model_deployment: str = "default"
     search_backend: str = "bm25"
+    search_url: str = ""
 
     def __post_init__(self):
         for name, known in (("llm_backend", ("rules", "remote")), ("search_backend", ("bm25", "remote"))):
             if getattr(self, name) not in known:
                 raise ValueError(f"unknown {name} {getattr(self, name)!r}")
+        for name in ("llm", "search"):
+            if getattr(self, f"{name}_backend") == "remote" and not getattr(self, f"{name}_url"):
+                raise ValueError(f"a remote {name} needs {name}_url")
 
     @classmethod
     def from_env(cls, env=os.environ) -> Settings:
