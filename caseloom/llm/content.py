@@ -1,9 +1,9 @@
 """Problem 9: abusive, hateful and sexual content, by compression distance.
 
-Separate zstandard dictionaries are trained on ordinary text and on the text of each category. A window of
-a document costs so many bytes under each; what a category's dictionary saves against the ordinary one, per
-character, is the window's score, and a document's score is that of its best window. Thresholds are
-calibrated on reviewed documents that the dictionaries did not see (cross-fitting).
+Separate zstandard dictionaries are trained on ordinary text, on toxic text, and on the text of each category. A
+window of a document costs so many bytes under each; what toxic text saves against ordinary text, per character,
+is the window's score, for the category whose dictionary costs least. A document's score is that of its best
+window. Thresholds are calibrated on reviewed documents that the dictionaries did not see (cross-fitting).
 
 Reviews name documents, not sentences. The windows to learn from are those of flagged documents that
 ordinary text compresses badly and that hold a word rare in ordinary documents; each goes to the category
@@ -170,24 +170,30 @@ class ContentModel:
         return self.__dict__ | {"_made": None}
 
     def _costs(self):
-        if self._made is None:  # a category nothing is known of has no dictionary and saves nothing
-            self._made = _Cost(self.ordinary), {k: _Cost(v) for k, v in self.categories.items() if any(v)}
+        """Of ordinary text, of toxic text (all categories), and of each category; one nothing is known of has no dictionary and saves nothing."""
+        if self._made is None:
+            known = {k: v for k, v in self.categories.items() if any(v)}
+            toxic = _content(line for v in known.values() for part in v for line in part.decode().split("\n"))
+            self._made = _Cost(self.ordinary), _Cost(toxic), {k: _Cost(v) for k, v in known.items()}
         return self._made
 
     def window_score(self, window: str, least: float | None = None) -> dict[str, float]:
-        """The categories that save most against ordinary text, and bytes saved per character.
+        """What toxic text saves against ordinary text, in bytes a character, for the category or categories that cost least.
 
-        With ``least``, windows are not asked of the categories where even the shortest frame there is would stay
-        below it: their scores, all below ``least``, are left out.
+        It is no more than the category's own dictionary saves. With ``least``, windows for which toxic text saves less
+        are not asked of the categories: their scores, all below ``least``, are left out.
         """
-        ordinary, categories = self._made or self._costs()
+        ordinary, toxic, categories = self._made or self._costs()
         raw, size = window.encode(), _size(window)
         base = ordinary.of(raw)
         if not categories or (least is not None and base - 5 < least * size and base - _least_cost(window) < least * size):
             return {}
+        saved = base - toxic.of(raw)
+        if least is not None and saved < least * size:
+            return {}
         costs = [(c.of(raw), k) for k, c in categories.items()]
         best = min(costs)[0]
-        return {k: (base - best) / size for c, k in costs if c == best}
+        return {k: min(saved, base - best) / size for c, k in costs if c == best}
 
     def scores(self, text: str | None, of=None) -> dict[str, float]:
         """Per category the score of the document's best window, 0 at least."""
@@ -240,12 +246,8 @@ def _attribute(found: dict[tuple[str, int], set[str]], start: dict[str, list[str
     return now
 
 
-#: Words in a larger share of all documents are common.
-WORD_RATE = 0.006
-
-
-def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], common: frozenset[str] | set[str]) -> ContentModel:
-    """rows: id, windows, labels; common: words common in all documents. Uncalibrated."""
+def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str]) -> ContentModel:
+    """rows: id, windows, labels. Uncalibrated."""
     none = [r for r in rows if r[2] == {"none"}]
     flagged_rows = [r for r in rows if r[2] and "none" not in r[2]]
     given = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in (*CATEGORIES, "none")}
@@ -258,7 +260,7 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str], c
     rare = max(1, len(none) // 700)
     frequency.update({t: 3 for t in given["none"]})
     seen.update(x for t in given["none"] for x in set(_words(t)) for _ in range(rare + 1))
-    telling = lambda w: {x for x in _words(w) if len(x) > 2 and (x in telltale or (seen[x] <= rare and x not in common))}
+    telling = lambda w: {x for x in _words(w) if len(x) > 2 and (x in telltale or seen[x] <= rare)}
     contents = lambda texts: _content(sorted(texts, key=lambda w: (-frequency[w], w)))
     start = {k: given[k] for k in CATEGORIES}
     told = [(w, i, labels) for i, ws, labels in flagged_rows for w in ws if telling(w)]
@@ -297,17 +299,17 @@ def _best_threshold(scored: list[tuple[float, bool]]) -> float:
     return max((x / 100 for x in range(6, 25)), key=lambda t: (worth(t), -abs(t - USUAL_THRESHOLD)))
 
 
-def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None = None, common: set[str] | frozenset[str] = frozenset(), folds: int = 2) -> ContentModel:
+def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None = None, folds: int = 2) -> ContentModel:
     """reviewed: doc_id, text, the categories reviewers named.
 
     ``seeds``: sentences of a category (or of ``none``) to start from where there are few reviews; without both nothing is flagged.
     """
     seeds = seeds or {}
     rows = [(i, windows(t), labels) for i, t, labels in sorted(reviewed, key=lambda r: r[0])]
-    model = _train(rows, seeds, common)
+    model = _train(rows, seeds)
     held: dict[str, list[tuple[float, bool]]] = {k: [] for k in CATEGORIES}
     for fold in range(folds):
-        part = _train([r for n, r in enumerate(rows) if n % folds != fold], seeds, common)
+        part = _train([r for n, r in enumerate(rows) if n % folds != fold], seeds)
         for n, (_, ws, labels) in enumerate(rows):
             if n % folds == fold and labels and not ("none" in labels and len(labels) > 1):
                 out = part.best_of(ws, lru_cache(maxsize=None)(partial(part.window_score, least=0.06)))
@@ -317,14 +319,6 @@ def fit(reviewed: list[tuple[int, str, set[str]]], seeds: dict[str, str] | None
     return model
 
 
-def common_words(documents: DataFrame, rate: float = WORD_RATE) -> set[str]:
-    """Words in more than ``rate`` of all documents, counted over all of them, map-side first. What is collected is bounded:
-    no more words can be in so large a share than a document has different words on average, divided by the rate."""
-    words = documents.where("text is not null").select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
-    whole = documents.count()
-    return {r.word for r in words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > max(rate * whole, 2)).select("word").collect()} - {""}
-
-
 def fit_reviews(
     documents: DataFrame, reviews: DataFrame, max_reviewed: int = MAX_REVIEWED, max_chars: int = MAX_REVIEWED_CHARS, seeds: dict[str, str] | None = None
 ) -> ContentModel:
@@ -347,7 +341,7 @@ def fit_reviews(
         chars += r.chars
         taken.append(r.order)
     rows = texts.where(F.col("order") <= taken[-1]).collect() if taken else []
-    return fit([(r.doc_id, r.text, set(r.labels) & {*CATEGORIES, "none"}) for r in rows], seeds, common_words(documents))
+    return fit([(r.doc_id, r.text, set(r.labels) & {*CATEGORIES, "none"}) for r in rows], seeds)
 
 
 def score_documents(documents: DataFrame, model: ContentModel, below: bool = True) -> DataFrame:

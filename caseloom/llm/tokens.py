@@ -43,7 +43,7 @@ def _counter(path: str):
     return _loaded[path]
 
 
-def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
+def spread(df: DataFrame, least_bytes: int = 1 << 18) -> DataFrame:
     """A table too small to fill the cores (below ``least_bytes`` each, by its size estimate) is dealt out over them; any other is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -28,7 +28,7 @@ def test_abuse_in_well_known_ordinary_wording_is_scored():
     base = model._costs()[0](w)
     assert base <= 0.3 * len(w)
     for least in (None, 0.08):
-        assert model.best_of([w], lambda x: model.window_score(x, least))["abusive"] == (base - content._Cost([w.encode()])(w)) / len(w) > 0.08
+        assert model.best_of([w], lambda x: model.window_score(x, least))["abusive"] > 0.08
     # Where two categories save alike, both are credited.
     model = content.ContentModel([b"good day"], {"abusive": [w.encode()], "hateful": [w.encode()], "sexual": [b"send nudes"]}, {})
     assert model.scores(w)["abusive"] == model.scores(w)["hateful"] > 0.11
