@@ -56,8 +56,9 @@ def dedupe_first(df: DataFrame, key: str = "_payload_sha256", order: tuple[str,
 
 
 def silver_cases(clean: DataFrame) -> DataFrame:
-    """The 31 silver columns of clean messages, each payload once."""
-    needed = clean.drop("dq_failures", "payload_hl7", "source_file", "source_system")
+    """The 31 silver columns of clean messages, each payload once: by the recorded hash in one spelling, else by the computed one."""
+    hashed = clean.withColumn("_payload_sha256", payload_sha256(F.col("payload_hl7"), F.col("_payload_sha256")))
+    needed = hashed.drop("dq_failures", "payload_hl7", "source_file", "source_system")
     return (
         dedupe_first(needed)
         .withColumn("age_years", age_years(F.col("birth_date"), F.col("report_date")))

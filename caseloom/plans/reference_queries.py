@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from caseloom.functions.hl7 import FIELD_MAP, parse_messages
 from caseloom.functions.keys import age_band, age_years, date_spine, surrogate_key
 from caseloom.operators import conform, evals, extract, features, generate, gold, metrics, quality, retrieval, signals
 from caseloom.operators.identity import payload_sha256
+from caseloom.plans import pipeline
 from caseloom.plans.corpus import CONDITION_GROUPS, CORPUS, DOCUMENT_QUESTIONS, EXPOSURES, NOTE_TERMS, ONSET_PHRASES, QUESTIONS, TRAVEL_PHRASES, WINDOWS
 from caseloom.session import Settings, stored, work_path
 from caseloom.sources import landing
@@ -62,9 +63,7 @@ def dedupe_first(s, d):
 
 
 def silver_cases(s, d):
-    sha = payload_sha256(F.col("payload_hl7"), F.col("_payload_sha256"))
-    clean = _judged(s, d).where(F.size("dq_failures") == 0).withColumn("_payload_sha256", sha)
-    out = conform.silver_cases(clean)
+    out = conform.silver_cases(_judged(s, d).where(F.size("dq_failures") == 0))
     return out.select("_payload_sha256", "facility_id", "age_years", "age_band", "is_positive", "report_month", "retransmission_count", *_text("report_date"))
 
 
@@ -395,6 +394,43 @@ def gates(s, d):
     return evals.gate_table(facts.join(F.broadcast(found), F.lit(True)))  # one row each
 
 
+# --- sources and sinks --------------------------------------------------------------------------------
+
+
+def land_bronze(s, d):
+    """All messages written as landing files and taken into bronze, in two runs of which the second finds nothing."""
+    lake = landing.Lake(work_path(s, "lake"))
+    landing.write_landing(table(s, d, "ecr_messages").select("message_id", "source_system", "received_at", "payload_hl7", "ingest_date"), lake.uri("landing", "ecr"))
+    first, second = landing.land_to_bronze(s, lake), landing.land_to_bronze(s, lake)
+    bronze, log = lake.read(s, "bronze", "ecr_messages"), lake.read(s, "bronze", "_ingest_log")
+    logged = bronze.join(log.select("source_file", "_batch_id").distinct(), ["source_file", "_batch_id"], "left_semi")
+    out = logged.groupBy(F.col("ingest_date").cast("string").alias("ingest_date")).agg(
+        F.count("*").alias("messages"), F.countDistinct("_payload_sha256").alias("payloads"), F.countDistinct("_batch_id").alias("batches"), F.count("message_id").alias("named")
+    )
+    return out.withColumn("second_run", F.lit(second["rows"]) + F.lit(first["rows"]) * 0)
+
+
+def silver_lake(s, d):
+    """Silver and quarantine as the stage writes them, read again: rows of each partition."""
+    lake = landing.Lake(work_path(s, "lake"))
+    lake.write(table(s, d, "ecr_messages").drop("row_id"), "bronze", "ecr_messages", "overwrite")
+    pipeline.silver_stage(s, lake)
+    silver = landing.read_merged(s, lake.uri("silver", "ecr_cases")).groupBy(F.lit("silver").alias("layer"), F.col("report_month").cast("string").alias("part")).agg(F.count("*").alias("n"))
+    rejected = landing.materialise(lake.read(s, "quarantine", "ecr_rejects"), "rejected_now").groupBy(F.lit("quarantine").alias("layer"), F.col("ingest_date").alias("part")).agg(F.count("*").alias("n"))
+    return silver.unionByName(rejected)
+
+
+def small_files(s, d):
+    """A small table through a sidecar document, JSON lines and a single Parquet file."""
+    rows = table(s, d, "dim_condition").select("condition_code", "condition_name", "lifetime_case_count")
+    base, schema = work_path(s, "small"), "condition_code string, condition_name string, lifetime_case_count bigint"
+    landing.write_sidecar(s, [r.asDict() for r in rows.collect()], f"{base}/document.json")  # a code list
+    rows.write.json(f"{base}/lines")
+    landing.write_single_file(rows, f"{base}/single")
+    read = {"document": landing.read_json_document(s, f"{base}/document.json", schema), "lines": landing.read_json_lines(s, f"{base}/lines", schema), "single": s.read.parquet(f"{base}/single")}
+    return reduce(DataFrame.unionByName, [df.select(F.lit(how).alias("how"), *rows.columns) for how, df in read.items()])
+
+
 # --- streams and generator --------------------------------------------------------------------------
 
 
@@ -424,6 +460,6 @@ QUERIES = {
         accepted_check, fk_check, range_check, reconcile_check, mart_checks, future_check, label_days, range_lookup, outbreak_features, temporal_split,
         alert_threshold, rule_alerts, confusion, ranking_metrics, brier, recent_signals, gbt_scores, permutation_importance, tokens, doc_freq,
         bm25_topk, index_topk, refusal_floor, grounded_answers, retrieval_eval, stub_extract, rule_replies, facts, vocab_map, date_grounding, extraction_eval, worst_cases,
-        gates, stream_ingest, stream_daily, stream_dedupe, synthetic_messages,
+        gates, land_bronze, silver_lake, small_files, stream_ingest, stream_daily, stream_dedupe, synthetic_messages,
     )
 }

@@ -320,6 +320,13 @@ SELECT extraction_id, onset_date IS NULL OR coalesce(contains(note, CAST(CAST(on
     "worst_cases": f"""WITH {_GOLDEN} SELECT message_control_id, array_to_string(list_sort(missing), ',') AS missing, array_to_string(list_sort(spurious), ',') AS spurious, onset_ok, exposure_ok
   FROM j WHERE NOT failed AND (len(missing) > 0 OR len(spurious) > 0 OR NOT onset_ok OR NOT exposure_ok) ORDER BY message_control_id LIMIT 5""",
     "gates": f"""WITH {_EVAL}, {_FOUND} SELECT gate, value::DOUBLE AS value, bound::DOUBLE AS bound, breached FROM metrics, found, LATERAL (VALUES {_GATES}) v(gate, value, bound, breached)""",
+    "land_bronze": """SELECT ingest_date, count(*) AS messages, count(DISTINCT sha256(payload_hl7)) AS payloads, 1 AS batches, count(message_id) AS named, 0 AS second_run
+  FROM ecr_messages GROUP BY 1""",
+    "silver_lake": f"""WITH {_PARSED}, d AS (SELECT {_SHA} AS sha, report_date, row_number() OVER (PARTITION BY {_SHA} ORDER BY received_at NULLS FIRST, _ingest_ts NULLS FIRST, message_id NULLS FIRST) AS rn
+  FROM judged WHERE len(f) = 0)
+SELECT 'silver' AS layer, strftime(report_date, '%Y-%m') AS part, count(*) AS n FROM d WHERE rn = 1 GROUP BY ALL
+UNION ALL SELECT 'quarantine', ingest_date, count(*) FROM judged WHERE len(f) > 0 GROUP BY ALL""",
+    "small_files": "SELECT how, condition_code, condition_name, lifetime_case_count FROM dim_condition, (VALUES ('document'), ('lines'), ('single')) v(how)",
     "stream_ingest": "SELECT ingest_date, count(*) AS messages FROM ecr_messages GROUP BY 1",
     "stream_daily": "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n FROM events GROUP BY ALL",
     "stream_dedupe": "SELECT count(DISTINCT _payload_sha256) AS messages, count(DISTINCT _payload_sha256) AS payloads FROM ecr_messages",

@@ -118,7 +118,7 @@ def write_single_file(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def write_sidecar(spark: SparkSession, content: dict, path: str) -> None:
+def write_sidecar(spark: SparkSession, content: dict | list, path: str) -> None:
     """A small JSON file beside a table, on any file system Spark knows: contracts, reports."""
     delete_path(spark, path)
     create_file(spark, path, json.dumps(content, indent=2, default=str))
