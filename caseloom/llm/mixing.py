@@ -112,8 +112,10 @@ def mix_documents(
     """
     spark = documents.sparkSession
     wanted = _targets(targets)
-    sources = spark.createDataFrame([(s,) for s in sorted(wanted)], "source string")
-    named = documents.where(F.col("text").isNotNull() & ~F.col("text").rlike(r"\A\s*\z")).select("doc_id", plain_source(F.col("source")).alias("source"), "text").join(sources, "source", "left_semi")
+    # As many rows as the targets name, which the driver holds.
+    sources = F.broadcast(spark.createDataFrame([(s,) for s in sorted(wanted)], "source string"))
+    full = F.col("text").isNotNull() & ~F.col("text").rlike(r"\A\s*\z")
+    named = documents.where(full).select("doc_id", plain_source(F.col("source")).alias("source"), "text").join(sources, "source", "left_semi")
     counted = stored(with_tokens(named.withColumn("hash", F.sha2("text", 256)), ["doc_id", "source", "hash"], tokenizer=tokenizer), "token-counts")
     first = counted.groupBy("hash").agg(F.min(F.struct("doc_id", "source", "tokens")).alias("f")).select("f.*", F.xxhash64("hash", F.lit(seed)).alias("order"))
     texts = stored(first.where("tokens > 0"), "distinct-texts")
