@@ -16,7 +16,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache, partial
 
 import pyarrow as pa
@@ -239,7 +239,7 @@ def _attribute(found: dict[tuple[str, int], set[str]], start: dict[str, list[str
                 if total > 0:
                     for k in CATEGORIES:
                         votes[k] += math.log((n[k] + 0.3) / (total + 0.9)) * min(1.0, total / 3)
-            then[(w, i)] = max(CATEGORIES, key=lambda k: (votes[k] + (1.0 if k in labels else 0.0), k))
+            then[(w, i)] = max(CATEGORIES, key=lambda k: (votes[k] + (3.0 if k in labels else 0.0), k))
         if then == now:
             break
         now = then
@@ -252,11 +252,18 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str]) -
     flagged_rows = [r for r in rows if r[2] and "none" not in r[2]]
     given = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in (*CATEGORIES, "none")}
 
-    # Words in four flagged documents at least and six times as often there as in ordinary ones: common, but not ordinary.
-    parts = lambda ws: {x for w in ws for x in _words(w)}
-    bad, seen = Counter(x for _, ws, _ in flagged_rows for x in parts(ws)), Counter(x for _, ws, _ in none for x in parts(ws))
-    telltale = {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (seen[x] + 0.5) / (len(none) + 1)}
+    def telltale_of(parts: Callable[[str], set]) -> tuple[set, Counter]:
+        """What is in four flagged documents at least and six times as often there as in ordinary ones, and in how many of these each is."""
+        bad, good = (Counter(x for _, ws, _ in some for x in {x for w in ws for x in parts(w)}) for some in (flagged_rows, none))
+        return {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (good[x] + 0.5) / (len(none) + 1)}, good
+
+    telltale, seen = telltale_of(lambda w: set(_words(w)))
+    phrases = lambda w: set(zip(*(_words(w)[n:] for n in range(3))))
+    odd, _ = telltale_of(phrases)
     frequency = Counter(w for _, ws, _ in none for w in ws)
+    # A flagged document passed as ordinary by mistake would hide its wording: what mostly consists of telltale phrases is not ordinary.
+    for w in [w for w, n in frequency.items() if n <= 2 + len(none) // 500 and 2 * len(phrases(w) & odd) > len(phrases(w))]:
+        del frequency[w]
     rare = max(1, len(none) // 700)
     frequency.update({t: 3 for t in given["none"]})
     seen.update(x for t in given["none"] for x in set(_words(t)) for _ in range(rare + 1))
