@@ -207,8 +207,16 @@ class ContentModel:
         return out
 
 
-def _words(window: str) -> list[str]:
-    return re.findall(r"[^\W\d_]+", window)
+@lru_cache(maxsize=300_000)
+def _words(window: str) -> tuple[str, ...]:
+    return tuple(re.findall(r"[^\W\d_]+", window))
+
+
+@lru_cache(maxsize=300_000)
+def _phrases(window: str) -> frozenset[tuple[str, ...]]:
+    """Three words in a row each."""
+    w = _words(window)
+    return frozenset(zip(w, w[1:], w[2:]))
 
 
 def _attribute(found: dict[tuple[str, int], set[str]], start: dict[str, list[str]], passes: int = 4) -> dict[tuple[str, int], str]:
@@ -252,17 +260,16 @@ def _train(rows: list[tuple[int, list[str], set[str]]], seeds: dict[str, str]) -
     flagged_rows = [r for r in rows if r[2] and "none" not in r[2]]
     given = {k: [s.strip() for s in re.split(r"(?<=[.])\s|\n", seeds.get(k, "")) if s.strip()] for k in (*CATEGORIES, "none")}
 
-    def telltale_of(parts: Callable[[str], set]) -> tuple[set, Counter]:
+    def telltale_of(parts: Callable[[str], Iterable]) -> tuple[set, Counter]:
         """What is in four flagged documents at least and six times as often there as in ordinary ones, and in how many of these each is."""
         bad, good = (Counter(x for _, ws, _ in some for x in {x for w in ws for x in parts(w)}) for some in (flagged_rows, none))
         return {x for x, n in bad.items() if n >= 4 and n / len(flagged_rows) > 6 * (good[x] + 0.5) / (len(none) + 1)}, good
 
-    telltale, seen = telltale_of(lambda w: set(_words(w)))
-    phrases = lambda w: set(zip(*(_words(w)[n:] for n in range(3))))
-    odd, _ = telltale_of(phrases)
+    telltale, seen = telltale_of(_words)
+    odd, _ = telltale_of(_phrases)
     frequency = Counter(w for _, ws, _ in none for w in ws)
     # A flagged document passed as ordinary by mistake would hide its wording: what mostly consists of telltale phrases is not ordinary.
-    for w in [w for w, n in frequency.items() if n <= 2 + len(none) // 500 and 2 * len(phrases(w) & odd) > len(phrases(w))]:
+    for w in [w for w, n in frequency.items() if n <= 2 + len(none) // 500 and 2 * len(_phrases(w) & odd) > len(_phrases(w))]:
         del frequency[w]
     rare = max(1, len(none) // 700)
     frequency.update({t: 3 for t in given["none"]})
