@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.operators import boosting
 from caseloom.operators.features import FEATURE_COLUMNS, KEY_COLUMNS, LABEL_COLUMN
 from caseloom.operators.metrics import ranking_metrics
 from caseloom.session import shared_dir
@@ -33,14 +34,17 @@ def balanced(df: DataFrame, label: str = LABEL_COLUMN) -> DataFrame:
 def train(df: DataFrame, iterations: int = 300, seed: int = 42) -> PipelineModel:
     """Depth 4, step 0.06, at least 15 rows a leaf, balanced weights.
 
-    Every tenth round's errors are checkpointed: the lineage of 300 rounds overflows the stack."""
+    Rows alike in every bin are counted and the trees grown on the counts in one task. Where those are too many for a task, Spark
+    fits; then every tenth round's errors are checkpointed: the lineage of 300 rounds overflows the stack."""
     shared_dir(df.sparkSession)
     columns = [*FEATURE_COLUMNS, *[f"{c}_missing" for c in NULLABLE]]
     gbt = GBTClassifier(
         labelCol=LABEL_COLUMN, featuresCol="features", weightCol="weight", maxDepth=4, stepSize=0.06, maxIter=iterations, minInstancesPerNode=15, seed=seed,
         cacheNodeIds=True, checkpointInterval=10,
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="features"), gbt]).fit(balanced(filled(df)).select(*columns, LABEL_COLUMN, "weight"))
+    rows, assembler = balanced(filled(df)).select(*columns, LABEL_COLUMN, "weight"), VectorAssembler(inputCols=columns, outputCol="features")
+    model = boosting.fit(gbt, rows, columns)
+    return PipelineModel([assembler, model]) if model else Pipeline(stages=[assembler, gbt]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -63,22 +67,34 @@ def signal_table(scored: DataFrame, threshold: float, version: str) -> DataFrame
     )
 
 
+#: Rows a bucket in which values change rows, and positive scores of all repeats together that the driver holds.
+ROWS_A_BUCKET, SCORES_AT_ONCE = 20_000, 500_000
+
+
 def permutation_importance(model: PipelineModel, df: DataFrame, columns: list[str] | None = None, repeats: int = 5, seed: int = 42) -> DataFrame:
     """feature, importance: mean loss of average precision when a column's values change rows.
 
-    Values are dealt out by joining two row numbers of one table, numbered within hash buckets so that
-    no task numbers the whole table."""
-    spark = df.sparkSession
-    base = ranking_metrics(score(model, df).withColumn("label", F.col(LABEL_COLUMN)), "signal_score").first().average_precision or 0.0
-    rows = []
-    for c in columns or FEATURE_COLUMNS:
-        lost = 0.0
-        for r in range(repeats):
-            mixed = shuffled(df, c, seed + r)
-            ap = ranking_metrics(score(model, mixed).withColumn("label", F.col(LABEL_COLUMN)), "signal_score").first().average_precision or 0.0
-            lost += base - ap
-        rows.append((c, float(lost / repeats)))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
+    All columns and repeats are scored in two passes over rows dealt once; where the positive rows are too many for
+    that, one column and repeat after the other."""
+    spark, columns = df.sparkSession, columns or FEATURE_COLUMNS
+    n = df.agg(F.count("*").alias("n"), F.count_if(F.col(LABEL_COLUMN) == 1).alias("p")).first()
+    if not n.p or repeats < 1:
+        lost = {c: 0.0 for c in columns}
+    elif n.p * repeats * len(columns) > SCORES_AT_ONCE:
+        lost = _one_by_one(model, df, columns, repeats, seed)
+    else:
+        inputs = model.stages[0].getInputCols()
+        moved = [[k for k, x in enumerate(inputs) if x in (c, f"{c}_missing")] for c in columns]
+        forest, buckets = boosting.Forest(model.stages[-1], len(inputs)), -(-n.n // ROWS_A_BUCKET)
+        ap = boosting.average_precisions(forest, inputs, filled(df), KEY_COLUMNS, F.coalesce(F.col(LABEL_COLUMN) == 1, F.lit(False)), moved, repeats, seed, buckets)
+        lost = {c: sum(ap[-1, 0] - ap[k, r] for r in range(repeats)) / repeats for k, c in enumerate(columns)}
+    return spark.createDataFrame([(c, float(x)) for c, x in lost.items()], "feature string, importance double").orderBy(F.desc("importance"), "feature")
+
+
+def _one_by_one(model: PipelineModel, df: DataFrame, columns: list[str], repeats: int, seed: int) -> dict[str, float]:
+    precision = lambda x: ranking_metrics(score(model, x).withColumn("label", F.col(LABEL_COLUMN)), "signal_score").first().average_precision
+    base = precision(df)
+    return {c: sum(base - precision(shuffled(df, c, seed + r)) for r in range(repeats)) / repeats for c in columns}
 
 
 def shuffled(df: DataFrame, column: str, seed: int, buckets: int = 64) -> DataFrame:
